@@ -53,8 +53,8 @@ PLAY_COLUMNS: dict[str, str] = {
     "|| least(own, opp) || '_' || greatest(own, opp)",
     "posteam": "case when (k + n) % 41 = 0 then null when b = 17 then opp else own end",
     "defteam": "case when (k + n) % 41 = 0 then null when b = 17 then own else opp end",
-    "play_type": "case when b <= 8 then 'pass' when b <= 14 then 'run' when b = 15 then 'field_goal' "
-    "when b = 16 then 'extra_point' when b = 17 then 'kickoff' when b = 18 then 'no_play' end",
+    "play_type": "case when b <= 8 then 'pass' when b <= 14 then 'run' when b < 19 then "
+    "(case b when 15 then 'field_goal' when 16 then 'extra_point' when 17 then 'kickoff' else 'no_play' end) end",
     "yards_gained": "case when cmp or rush then q - 10 end",
     "epa": "(q - 25) / cast(8 as double)",
     "passer_player_id": "case when b <= 8 then 'QB0-' || own end",

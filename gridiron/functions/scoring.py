@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,5 +41,5 @@ def fantasy_points(scoring: Mapping[str, float] = DEFAULT_SCORING) -> Column:
     """Score of a row, rounded to cents; terms are added in the order of ``scoring``."""
     if not scoring:
         return F.lit(0.0)
-    terms = [F.col(stat) * F.lit(float(weight)) for stat, weight in scoring.items()]
-    return round_scaled(reduce(add, terms), 2)
+    terms = [f"{stat} * {float(weight)!r}D" for stat, weight in scoring.items()]
+    return round_scaled(F.expr(" + ".join(terms)), 2)

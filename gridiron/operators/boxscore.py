@@ -8,11 +8,9 @@ aggregates and the full box score are both generated from it.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
-from functools import reduce
-from operator import or_
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridiron.functions.scoring import DEFAULT_SCORING, fantasy_points
@@ -22,16 +20,13 @@ NAME_KEYS = ["team", "player_name"]
 KEY_COLUMNS = ["season", "week", "team", "player_id", "player_name"]
 
 
-def _is(flag: str) -> Column:
-    return F.col(flag) == 1
+def _when(*parts: str) -> str:
+    """Conjunction of conditions; a bare column name stands for a raised flag."""
+    return " AND ".join(part if " " in part else f"{part} = 1" for part in parts)
 
 
-def _good_conversion() -> Column:
-    return _is("two_point_attempt") & (F.col("two_point_conv_result") == "success")
-
-
-def _goal_made(distance: Column) -> Column:
-    return _is("field_goal_attempt") & (F.col("field_goal_result") == "made") & distance
+def _made_from(distance: str) -> str:
+    return _when("field_goal_attempt", "field_goal_result = 'made'", f"kick_distance {distance}")
 
 
 @dataclass(frozen=True)
@@ -40,87 +35,93 @@ class Role:
 
     player: str
     name: str | None
-    counts: Mapping[str, Column]
-    sums: Mapping[str, Column]
+    counts: Mapping[str, str]
+    sums: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def keys(self) -> list[str]:
         return KEY_COLUMNS if self.name else WEEK_KEYS
 
-
-def roles() -> dict[str, Role]:
-    """The six roles; a function because Columns need a running session."""
-    distance = F.col("kick_distance")
-    return {
-        "passing": Role(
-            "passer_player_id",
-            "passer_player_name",
-            counts={
-                "pass_attempts": _is("pass_attempt"),
-                "completions": _is("complete_pass"),
-                "passing_tds": _is("pass_touchdown"),
-                "interceptions": _is("interception"),
-                "passing_two_pt": _good_conversion(),
-            },
-            sums={"passing_yards": F.col("passing_yards")},
-        ),
-        "rushing": Role(
-            "rusher_player_id",
-            "rusher_player_name",
-            counts={
-                "rush_attempts": _is("rush_attempt"),
-                "rushing_tds": _is("rush_touchdown"),
-                "rushing_two_pt": _good_conversion(),
-            },
-            sums={"rushing_yards": F.col("rushing_yards")},
-        ),
-        # A target is any pass attempt with a receiver, a reception a completed one.
-        "receiving": Role(
-            "receiver_player_id",
-            "receiver_player_name",
-            counts={
-                "targets": _is("pass_attempt"),
-                "receptions": _is("complete_pass"),
-                "receiving_tds": _is("pass_touchdown") & _is("complete_pass"),
-                "receiving_two_pt": _good_conversion(),
-            },
-            sums={
-                "receiving_yards": F.col("receiving_yards"),
-                "air_yards": F.col("air_yards"),
-                "yards_after_catch": F.col("yards_after_catch"),
-            },
-        ),
-        "kicking": Role(
-            "kicker_player_id",
-            "kicker_player_name",
-            counts={
-                "fg_made_0_19": _goal_made(distance < 20),
-                "fg_made_20_29": _goal_made(distance.between(20, 29)),
-                "fg_made_30_39": _goal_made(distance.between(30, 39)),
-                "fg_made_40_49": _goal_made(distance.between(40, 49)),
-                "fg_made_50_59": _goal_made(distance.between(50, 59)),
-                "fg_made_60_plus": _goal_made(distance >= 60),
-                "fg_missed": _is("field_goal_attempt") & (F.col("field_goal_result") != "made"),
-                "pat_made": _is("extra_point_attempt") & (F.col("extra_point_result") == "good"),
-                "pat_missed": _is("extra_point_attempt") & (F.col("extra_point_result") != "good"),
-            },
-            sums={},
-        ),
-        "fumbles": Role(
-            "fumbled_1_player_id",
-            None,
-            counts={"fumbles": _is("fumble"), "fumbles_lost": _is("fumble_lost")},
-            sums={},
-        ),
-        # Only a score by the recovering player counts, hence return_touchdown.
-        "fumble_recovery_tds": Role(
-            "fumble_recovery_1_player_id",
-            None,
-            counts={"fumble_recovery_tds": _is("return_touchdown")},
-            sums={},
-        ),
-    }
-
+    @property
+    def slots(self) -> dict[str, str]:
+        """Metric -> generic slot: n0, n1, … for the counts, s0, s1, … for the sums."""
+        counts = {metric: f"n{i}" for i, metric in enumerate(self.counts)}
+        return counts | {metric: f"s{i}" for i, metric in enumerate(self.sums)}
+
+
+_CONVERTED = _when("two_point_attempt", "two_point_conv_result = 'success'")
+
+ROLES: dict[str, Role] = {
+    "passing": Role(
+        "passer_player_id",
+        "passer_player_name",
+        counts={
+            "pass_attempts": _when("pass_attempt"),
+            "completions": _when("complete_pass"),
+            "passing_tds": _when("pass_touchdown"),
+            "interceptions": _when("interception"),
+            "passing_two_pt": _CONVERTED,
+        },
+        sums={"passing_yards": "passing_yards"},
+    ),
+    "rushing": Role(
+        "rusher_player_id",
+        "rusher_player_name",
+        counts={
+            "rush_attempts": _when("rush_attempt"),
+            "rushing_tds": _when("rush_touchdown"),
+            "rushing_two_pt": _CONVERTED,
+        },
+        sums={"rushing_yards": "rushing_yards"},
+    ),
+    # A target is any pass attempt with a receiver, a reception a completed one.
+    "receiving": Role(
+        "receiver_player_id",
+        "receiver_player_name",
+        counts={
+            "targets": _when("pass_attempt"),
+            "receptions": _when("complete_pass"),
+            "receiving_tds": _when("pass_touchdown", "complete_pass"),
+            "receiving_two_pt": _CONVERTED,
+        },
+        sums={
+            "receiving_yards": "receiving_yards",
+            "air_yards": "air_yards",
+            "yards_after_catch": "yards_after_catch",
+        },
+    ),
+    "kicking": Role(
+        "kicker_player_id",
+        "kicker_player_name",
+        counts={
+            "fg_made_0_19": _made_from("< 20"),
+            "fg_made_20_29": _made_from("BETWEEN 20 AND 29"),
+            "fg_made_30_39": _made_from("BETWEEN 30 AND 39"),
+            "fg_made_40_49": _made_from("BETWEEN 40 AND 49"),
+            "fg_made_50_59": _made_from("BETWEEN 50 AND 59"),
+            "fg_made_60_plus": _made_from(">= 60"),
+            "fg_missed": _when("field_goal_attempt", "field_goal_result <> 'made'"),
+            "pat_made": _when("extra_point_attempt", "extra_point_result = 'good'"),
+            "pat_missed": _when("extra_point_attempt", "extra_point_result <> 'good'"),
+        },
+    ),
+    "fumbles": Role(
+        "fumbled_1_player_id",
+        None,
+        counts={"fumbles": _when("fumble"), "fumbles_lost": _when("fumble_lost")},
+    ),
+    # Only a score by the recovering player counts, hence return_touchdown.
+    "fumble_recovery_tds": Role(
+        "fumble_recovery_1_player_id",
+        None,
+        counts={"fumble_recovery_tds": _when("return_touchdown")},
+    ),
+}
+
+#: Roles that carry a team and a name, and thereby decide who is listed at all.
+NAMING = [name for name, role in ROLES.items() if role.name]
+ROLE_CODE = {name: code for code, name in enumerate(ROLES)}
+NAMING_CODES = ", ".join(str(ROLE_CODE[name]) for name in NAMING)
 
 #: Output order of the stats.
 STATS = (
@@ -138,51 +139,39 @@ STATS = (
 
 def role_box(plays: DataFrame, role_name: str) -> DataFrame:
     """Aggregate of one role; a sum over nulls only stays null."""
-    role = roles()[role_name]
-    credited = plays.where(F.col(role.player).isNotNull())
+    role = ROLES[role_name]
     naming = [F.col(role.player).alias("player_id")]
     if role.name:
         naming = ["team", *naming, F.col(role.name).alias("player_name")]
-    return credited.groupBy("season", "week", *naming).agg(
-        *[F.count_if(condition).alias(name) for name, condition in role.counts.items()],
-        *[F.sum(column).alias(name) for name, column in role.sums.items()],
+    return (
+        plays.where(f"{role.player} IS NOT NULL")
+        .groupBy("season", "week", *naming)
+        .agg(
+            *[F.expr(f"count_if({condition}) AS {metric}") for metric, condition in role.counts.items()],
+            *[F.expr(f"sum({column}) AS {metric}") for metric, column in role.sums.items()],
+        )
     )
 
 
-def _naming_roles() -> list[str]:
-    return [name for name, role in roles().items() if role.name]
+# ------------------------------------------------------------- all roles
 
 
-def player_keys(plays: DataFrame) -> DataFrame:
-    """Distinct (season, week, team, player_id, player_name) over the four naming roles.
-
-    One scan: the roles of a play are unpivoted, then made distinct with a
-    map-side partial step.
-    """
-    named = [roles()[name] for name in _naming_roles()]
-    credits = F.array(
-        *[
-            F.struct(F.col(role.player).alias("player_id"), F.col(role.name).alias("player_name"))
-            for role in named
-        ]
+def _credits(plays: DataFrame, role_names: list[str]) -> DataFrame:
+    """One row per play and credited player: the play's columns plus role, player_id, player_name."""
+    entries = ", ".join(
+        f"struct({ROLE_CODE[n]} AS role, {ROLES[n].player} AS player_id, "
+        f"{ROLES[n].name or 'CAST(NULL AS STRING)'} AS player_name)"
+        for n in role_names
     )
-    return (
-        plays.where(reduce(or_, [F.col(role.player).isNotNull() for role in named]))
-        .select("season", "week", "team", F.inline(credits))
-        .where(F.col("player_id").isNotNull())
-        .select(*KEY_COLUMNS)
-        .distinct()
-    )
-
+    return plays.selectExpr("*", f"inline(array({entries}))").where("player_id IS NOT NULL")
 
-# ------------------------------------------------------------- all roles
 
+def player_keys(plays: DataFrame) -> DataFrame:
+    """Distinct (season, week, team, player_id, player_name) over the four naming roles.
 
-def _slots(role: Role) -> tuple[dict[str, str], dict[str, str]]:
-    """Metric name -> generic slot name, for the counts and the sums of a role."""
-    counts = {name: f"n{i}" for i, name in enumerate(role.counts)}
-    sums = {name: f"s{i}" for i, name in enumerate(role.sums)}
-    return counts, sums
+    One scan; the distinct has a map-side partial step.
+    """
+    return _credits(plays, NAMING).select(*KEY_COLUMNS).distinct()
 
 
 def credit_lines(plays: DataFrame) -> DataFrame:
@@ -194,41 +183,41 @@ def credit_lines(plays: DataFrame) -> DataFrame:
     buffer (hash aggregation with map-side combine).  The two fumble roles have
     no team and no name of their own and are grouped per player and week.
     """
-    all_roles = roles()
-    n_counts = max(len(role.counts) for role in all_roles.values())
-    n_sums = max(len(role.sums) for role in all_roles.values())
-
-    def credit(name: str, role: Role) -> Column:
-        counts = [F.when(c, F.lit(1)).otherwise(F.lit(0)) for c in role.counts.values()]
-        counts += [F.lit(0)] * (n_counts - len(counts))
-        sums = list(role.sums.values())
-        sums += [F.lit(None)] * (n_sums - len(sums))
-        return F.struct(
-            F.lit(name).alias("role"),
-            F.col(role.player).alias("player_id"),
-            (F.col("team") if role.name else F.lit(None).cast("string")).alias("team"),
-            (F.col(role.name) if role.name else F.lit(None).cast("string")).alias("player_name"),
-            *[c.alias(f"n{i}") for i, c in enumerate(counts)],
-            *[s.cast("double").alias(f"s{i}") for i, s in enumerate(sums)],
-        )
+
+    def by_role(slot: str) -> list[tuple[int, str]]:
+        """(role code, condition or column) of every role that uses a slot."""
+        found = []
+        for name, role in ROLES.items():
+            sources = {**role.counts, **role.sums}
+            found += [(ROLE_CODE[name], sources[metric]) for metric, s in role.slots.items() if s == slot]
+        return found
+
+    slots = sorted({slot for role in ROLES.values() for slot in role.slots.values()})
+    metrics = []
+    for slot in slots:
+        cases = " ".join(f"WHEN {code} THEN {source}" for code, source in by_role(slot))
+        value = f"CASE role {cases} END"
+        metrics.append(f"CASE WHEN {value} THEN 1 ELSE 0 END AS {slot}" if slot[0] == "n" else f"{value} AS {slot}")
 
     return (
-        plays.where(reduce(or_, [F.col(role.player).isNotNull() for role in all_roles.values()]))
-        .select("season", "week", F.inline(F.array(*[credit(n, r) for n, r in all_roles.items()])))
-        .where(F.col("player_id").isNotNull())
-        .groupBy(*WEEK_KEYS, "role", *NAME_KEYS)
-        .agg(
-            F.count("*").alias("plays"),
-            *[F.sum(f"n{i}").alias(f"n{i}") for i in range(n_counts)],
-            *[F.sum(f"s{i}").alias(f"s{i}") for i in range(n_sums)],
+        _credits(plays, list(ROLES))
+        .selectExpr(
+            *WEEK_KEYS,
+            "role",
+            f"CASE WHEN role IN ({NAMING_CODES}) THEN team END AS team",
+            "player_name",
+            *metrics,
         )
+        .groupBy(*WEEK_KEYS, "role", *NAME_KEYS)
+        .agg(F.expr("count(*) AS plays"), *[F.expr(f"sum({slot}) AS {slot}") for slot in slots])
     )
 
 
 def _finish(df: DataFrame, scoring: Mapping[str, float]) -> DataFrame:
     """Null stats become 0; keys, stats and score in output order."""
-    filled = [F.coalesce(F.col(stat), F.lit(0)).alias(stat) for stat in STATS]
-    return df.select(*KEY_COLUMNS, *filled).withColumn("fantasy_points", fantasy_points(scoring))
+    return df.selectExpr(*KEY_COLUMNS, *[f"coalesce({stat}, 0) AS {stat}" for stat in STATS]).select(
+        "*", fantasy_points(scoring).alias("fantasy_points")
+    )
 
 
 def player_game_stats(plays: DataFrame, scoring: Mapping[str, float] = DEFAULT_SCORING) -> DataFrame:
@@ -246,32 +235,25 @@ def player_game_stats(plays: DataFrame, scoring: Mapping[str, float] = DEFAULT_S
     entries of one role yield at least k * k result rows.  Plays themselves are
     never gathered.
     """
-    all_roles = roles()
-    naming = _naming_roles()
-    lines = credit_lines(plays)
-
-    gathered = []
-    for name in naming:
-        counts, sums = _slots(all_roles[name])
-        metrics = F.struct(*[F.col(slot).alias(stat) for stat, slot in {**counts, **sums}.items()])
-        gathered.append(F.collect_list(F.when(F.col("role") == name, metrics)).alias(name))
-    for name in (n for n in all_roles if n not in naming):
-        counts, _ = _slots(all_roles[name])
-        gathered += [F.sum(F.when(F.col("role") == name, F.col(slot))).alias(stat) for stat, slot in counts.items()]
-    pair = F.when(F.col("role").isin(naming), F.struct(*NAME_KEYS))
-
-    paired = lines.groupBy(*WEEK_KEYS).agg(F.collect_set(pair).alias("pairs"), *gathered)
-    paired = paired.withColumn("pair", F.explode("pairs")).drop("pairs")
-    for name in naming:
-        paired = paired.withColumn(name, F.explode_outer(name))
-    flat = paired.select("*", "pair.*", *[f"{name}.*" for name in naming])
-    return _finish(flat, scoring)
+    gathered = [F.expr(f"collect_set(CASE WHEN role IN ({NAMING_CODES}) THEN struct(team, player_name) END) AS pairs")]
+    for name, role in ROLES.items():
+        own = f"CASE WHEN role = {ROLE_CODE[name]} THEN"
+        if role.name:
+            fields = ", ".join(f"{slot} AS {metric}" for metric, slot in role.slots.items())
+            gathered.append(F.expr(f"collect_list({own} struct({fields}) END) AS {name}"))
+        else:
+            gathered += [F.expr(f"sum({own} {slot} END) AS {metric}") for metric, slot in role.slots.items()]
+
+    paired = credit_lines(plays).groupBy(*WEEK_KEYS).agg(*gathered).selectExpr("*", "inline(pairs)")
+    for name in NAMING:
+        paired = paired.selectExpr("*", f"inline_outer({name})")
+    return _finish(paired, scoring)
 
 
 def player_game_stats_by_joins(plays: DataFrame, scoring: Mapping[str, float] = DEFAULT_SCORING) -> DataFrame:
     """The same result stated as joins; used to check :func:`player_game_stats`."""
     result = player_keys(plays)
-    for name, role in roles().items():
+    for name, role in ROLES.items():
         result = result.join(role_box(plays, name).drop(*(NAME_KEYS if role.name else [])), WEEK_KEYS, "left")
     return _finish(result, scoring)
 
@@ -282,22 +264,14 @@ def player_game_stats_by_player(plays: DataFrame, scoring: Mapping[str, float] =
     Team and name are those of the pair with most plays, ties going to the
     smaller name, then team.  All steps are aggregates with map-side combine.
     """
-    all_roles = roles()
-    naming = _naming_roles()
-    lines = credit_lines(plays)
-
-    totals = []
-    for name, role in all_roles.items():
-        counts, sums = _slots(role)
-        totals += [
-            F.sum(F.when(F.col("role") == name, F.col(slot))).alias(stat) for stat, slot in {**counts, **sums}.items()
-        ]
-    named_plays = F.sum(F.when(F.col("role").isin(naming), F.col("plays"))).alias("plays")
-    by_pair = lines.groupBy(*WEEK_KEYS, *NAME_KEYS).agg(named_plays, *totals)
+    totals = [
+        F.expr(f"sum(CASE WHEN role = {ROLE_CODE[name]} THEN {slot} END) AS {metric}")
+        for name, role in ROLES.items()
+        for metric, slot in role.slots.items()
+    ]
+    named_plays = F.expr(f"sum(CASE WHEN role IN ({NAMING_CODES}) THEN plays END) AS plays")
+    by_pair = credit_lines(plays).groupBy(*WEEK_KEYS, *NAME_KEYS).agg(named_plays, *totals)
     # min over structs: most plays first, then name, then team.
-    best = F.min(
-        F.when(F.col("plays") > 0, F.struct((-F.col("plays")).alias("rank"), "player_name", "team"))
-    ).alias("best")
-    players = by_pair.groupBy(*WEEK_KEYS).agg(best, *[F.sum(stat).alias(stat) for stat in STATS])
-    players = players.where(F.col("best").isNotNull()).select("*", "best.team", "best.player_name")
-    return _finish(players, scoring)
+    best = F.expr("min(CASE WHEN plays > 0 THEN struct(-plays AS rank, player_name, team) END) AS best")
+    players = by_pair.groupBy(*WEEK_KEYS).agg(best, *[F.expr(f"sum({stat}) AS {stat}") for stat in STATS])
+    return _finish(players.where("best IS NOT NULL").select("*", "best.team", "best.player_name"), scoring)

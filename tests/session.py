@@ -18,6 +18,7 @@ def local_session(cpus: str = "8", warehouse: str | None = None) -> SparkSession
         .config("spark.sql.warehouse.dir", os.path.join(warehouse, "tables"))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
