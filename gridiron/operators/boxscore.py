@@ -220,34 +220,70 @@ def _finish(df: DataFrame, scoring: Mapping[str, float]) -> DataFrame:
     )
 
 
+def _listings(plays: DataFrame) -> DataFrame:
+    """One row per (season, week, player_id, team, player_name), all roles side by side.
+
+    ``listed`` counts the plays in naming roles and is null for the row that
+    holds only fumbles; ``in_<role>`` counts the plays of one naming role.  The
+    lines are shuffled by player-week once, which also serves whatever is
+    grouped by player-week afterwards.
+    """
+    return (
+        credit_lines(plays)
+        .repartition(*WEEK_KEYS)
+        .groupBy(*WEEK_KEYS, *NAME_KEYS)
+        .agg(
+            F.expr(f"sum(CASE WHEN role IN ({NAMING_CODES}) THEN plays END) AS listed"),
+            *[F.expr(f"sum(CASE WHEN role = {ROLE_CODE[name]} THEN plays END) AS in_{name}") for name in NAMING],
+            *[
+                F.expr(f"sum(CASE WHEN role = {ROLE_CODE[name]} THEN {slot} END) AS {metric}")
+                for name, role in ROLES.items()
+                for metric, slot in role.slots.items()
+            ],
+        )
+    )
+
+
 def player_game_stats(plays: DataFrame, scoring: Mapping[str, float] = DEFAULT_SCORING) -> DataFrame:
     """Box score and fantasy score per (season, week, team, player_id, player_name).
 
     The result is that of joining the distinct keys with the six role
     aggregates on (season, week, player_id): a player listed under several
     (team, name) pairs in a week gets every pairing, and a player who only
-    fumbled or recovered gets none.  It is computed without those joins: the
-    pre-aggregated lines of a player-week are gathered per role and paired by
-    unnesting, which costs one scan and two shuffles instead of nine scans.
-
-    What is gathered is bounded by the result: a list holds one entry per
-    (team, name) the player is listed under in that week in that role, and k
-    entries of one role yield at least k * k result rows.  Plays themselves are
-    never gathered.
+    fumbled or recovered gets none.  It is computed without those joins, in one
+    scan and two shuffles.  A player listed once, the usual case, keeps the
+    metrics of that row.  Only for a player listed several times in a week are
+    the rows of a role gathered and unnested against each other.
+
+    What is gathered is bounded by the result: k rows of a role belong to at
+    least k listings and so stand for at least k * k result rows.  Plays
+    themselves are never gathered.
     """
-    gathered = [F.expr(f"collect_set(CASE WHEN role IN ({NAMING_CODES}) THEN struct(team, player_name) END) AS pairs")]
-    for name, role in ROLES.items():
-        own = f"CASE WHEN role = {ROLE_CODE[name]} THEN"
-        if role.name:
-            fields = ", ".join(f"{slot} AS {metric}" for metric, slot in role.slots.items())
-            gathered.append(F.expr(f"collect_list({own} struct({fields}) END) AS {name}"))
-        else:
-            gathered += [F.expr(f"sum({own} {slot} END) AS {metric}") for metric, slot in role.slots.items()]
-
-    paired = credit_lines(plays).groupBy(*WEEK_KEYS).agg(*gathered).selectExpr("*", "inline(pairs)")
+    player_week = "(PARTITION BY season, week, player_id)"
+    nameless = [metric for role in ROLES.values() if not role.name for metric in role.slots]
+    listings = _listings(plays)
+    counted = listings.selectExpr(
+        *[column for column in listings.columns if column not in nameless],
+        f"count(listed) OVER {player_week} AS listings",
+        *[f"sum({metric}) OVER {player_week} AS {metric}" for metric in nameless],
+    ).where("listed IS NOT NULL")
+
+    gathered = []
+    for name in NAMING:
+        row = ", ".join(f"{metric} AS each_{metric}" for metric in ROLES[name].slots)
+        gathered.append(
+            f"collect_list(CASE WHEN listings > 1 AND in_{name} > 0 THEN struct({row}) END) "
+            f"OVER {player_week} AS all_{name}"
+        )
+    paired = counted.selectExpr("*", *gathered)
     for name in NAMING:
-        paired = paired.selectExpr("*", f"inline_outer({name})")
-    return _finish(paired, scoring)
+        paired = paired.selectExpr("*", f"inline_outer(all_{name})")
+    stats = [
+        f"coalesce(each_{metric}, CASE WHEN listings = 1 THEN {metric} END) AS {metric}"
+        for name in NAMING
+        for metric in ROLES[name].slots
+    ]
+    return _finish(paired.selectExpr(*KEY_COLUMNS, *nameless, *stats), scoring)
 
 
 def player_game_stats_by_joins(plays: DataFrame, scoring: Mapping[str, float] = DEFAULT_SCORING) -> DataFrame:
@@ -264,14 +300,7 @@ def player_game_stats_by_player(plays: DataFrame, scoring: Mapping[str, float] =
     Team and name are those of the pair with most plays, ties going to the
     smaller name, then team.  All steps are aggregates with map-side combine.
     """
-    totals = [
-        F.expr(f"sum(CASE WHEN role = {ROLE_CODE[name]} THEN {slot} END) AS {metric}")
-        for name, role in ROLES.items()
-        for metric, slot in role.slots.items()
-    ]
-    named_plays = F.expr(f"sum(CASE WHEN role IN ({NAMING_CODES}) THEN plays END) AS plays")
-    by_pair = credit_lines(plays).groupBy(*WEEK_KEYS, *NAME_KEYS).agg(named_plays, *totals)
     # min over structs: most plays first, then name, then team.
-    best = F.expr("min(CASE WHEN plays > 0 THEN struct(-plays AS rank, player_name, team) END) AS best")
-    players = by_pair.groupBy(*WEEK_KEYS).agg(best, *[F.expr(f"sum({stat}) AS {stat}") for stat in STATS])
+    best = F.expr("min(CASE WHEN listed > 0 THEN struct(-listed AS rank, player_name, team) END) AS best")
+    players = _listings(plays).groupBy(*WEEK_KEYS).agg(best, *[F.expr(f"sum({stat}) AS {stat}") for stat in STATS])
     return _finish(players.where("best IS NOT NULL").select("*", "best.team", "best.player_name"), scoring)
