@@ -1,0 +1,106 @@
+"""Seasons and the league snapshot."""
+
+import json
+import logging
+
+import pytest
+from pyspark.sql import types as T
+
+from gridiron.sources import league, seasons
+
+SCHEMA = T.StructType().add("season", "integer").add("week", "integer").add("player", "string").add("yards", "double")
+
+
+def write_season(spark, root, season, rows, ddl):
+    spark.createDataFrame(rows, ddl).write.mode("overwrite").parquet(f"{root}/season={season}")
+
+
+def test_season_range_is_inclusive():
+    assert seasons.default_seasons(2026) == [2024, 2025, 2026]
+
+
+def test_missing_season_is_skipped_and_columns_are_united(spark, tmp_path, caplog):
+    root = str(tmp_path / "plays")
+    write_season(spark, root, 2024, [(1, "a", 1.0)], "week int, player string, yards double")
+    write_season(spark, root, 2025, [(2, "b", "x")], "week int, player string, extra string")
+    with caplog.at_level(logging.WARNING):
+        df = seasons.read_seasons(spark, root, SCHEMA, [2024, 2025, 2026])
+    assert "2026" in caplog.text
+    assert set(df.columns) == {"season", "week", "player", "yards", "extra"}
+    rows = {(r.season, r.week, r.player, r.yards, r.extra) for r in df.collect()}
+    assert rows == {(2024, 1, "a", 1.0, None), (2025, 2, "b", None, "x")}
+
+
+def test_types_are_declared_and_nan_becomes_null(spark, tmp_path):
+    root = str(tmp_path / "plays")
+    write_season(spark, root, 2024, [(1, 7, float("nan"))], "week bigint, player int, yards float")
+    write_season(spark, root, 2025, [(1, "q", 3)], "week int, player string, yards int")
+    df = seasons.read_seasons(spark, root, SCHEMA, [2024, 2025])
+    assert {f.name: f.dataType for f in df.schema} == {f.name: f.dataType for f in SCHEMA}
+    assert {(r.player, r.yards) for r in df.collect()} == {("7", None), ("q", 3.0)}
+
+
+def test_no_season_or_missing_column_fails(spark, tmp_path):
+    root = str(tmp_path / "plays")
+    with pytest.raises(seasons.NoSeasonError):
+        seasons.read_seasons(spark, root, SCHEMA, [2024])
+    write_season(spark, root, 2024, [(1, "a")], "week int, player string")
+    with pytest.raises(seasons.MissingColumnsError, match="yards"):
+        seasons.read_seasons(spark, root, SCHEMA, [2024])
+
+
+def test_season_filter_prunes_directories(spark, tmp_path):
+    root = str(tmp_path / "plays")
+    for season in (2024, 2025):
+        write_season(spark, root, season, [(1, "a", 1.0)], "week int, player string, yards double")
+    df = seasons.read_seasons(spark, root, SCHEMA, [2024, 2025]).where("season = 2025")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(season") >= 1
+    assert [r.season for r in df.collect()] == [2025]
+
+
+def league_frame(spark, tmp_path, rosters, users, me="1"):
+    (tmp_path / "rosters.json").write_text(json.dumps(rosters))
+    (tmp_path / "users.json").write_text(json.dumps(users, indent=1))
+    return league.flatten_league(
+        league.read_league_rosters(spark, str(tmp_path / "rosters.json")),
+        league.read_league_users(spark, str(tmp_path / "users.json")),
+        me,
+    )
+
+
+def test_league_snapshot(spark, tmp_path):
+    rosters = [
+        {"roster_id": 1, "owner_id": "1", "players": ["10", "11"], "settings": {"wins": 3, "losses": 1, "ties": 0}},
+        {"roster_id": 2, "owner_id": "2", "players": ["20"], "settings": {}},
+        {"roster_id": 3, "owner_id": None, "players": ["30"]},
+        {"roster_id": 4, "owner_id": "4", "players": None, "settings": {"wins": 1, "losses": 1}},
+        {"roster_id": 5, "owner_id": "5", "players": []},
+        {"roster_id": 6, "owner_id": "6", "players": ["60"]},
+        {"roster_id": 7, "owner_id": "7", "players": ["70"]},
+        {"roster_id": 8, "owner_id": "8", "players": ["80"]},
+    ]
+    users = [
+        {"user_id": "1", "display_name": "me", "metadata": {"team_name": "x"}, "is_bot": False},
+        {"user_id": "2", "display_name": "first"},
+        {"user_id": "2", "display_name": "last"},
+        {"user_id": "6", "display_name": None},
+        {"user_id": "7"},
+    ]
+    df = league_frame(spark, tmp_path, rosters, users)
+    got = {r.sleeper_id: (r.roster_id, r.owner_id, r.owner_name, r.is_my_roster, r.wins, r.losses) for r in df.collect()}
+    assert got == {
+        "10": (1, "1", "me", True, 3, 1),
+        "11": (1, "1", "me", True, 3, 1),
+        "20": (2, "2", "last", False, None, None),
+        "30": (3, None, "unknown", False, None, None),
+        "60": (6, "6", None, False, None, None),  # the name is there and null
+        "70": (7, "7", "unknown", False, None, None),  # the name is not there
+        "80": (8, "8", "unknown", False, None, None),
+    }
+
+
+def test_league_without_players(spark, tmp_path):
+    df = league_frame(spark, tmp_path, [{"roster_id": 1, "owner_id": "1"}], [{"user_id": "1", "display_name": "me"}])
+    assert df.count() == 0
+    assert df.columns == ["roster_id", "owner_id", "owner_name", "is_my_roster", "sleeper_id", "wins", "losses"]
