@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
@@ -43,13 +44,18 @@ def _together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
             done.result()
 
 
+def _write_seasons(config: PipelineConfig, df: DataFrame, name: str) -> None:
+    write = tables.write_partitions if config.only_seasons else tables.write_table
+    write(df, name, "season")
+
+
 def land(spark: SparkSession, config: PipelineConfig) -> None:
     """Replace the raw tables from the landed files."""
     tables.ensure_databases(spark)
 
     def land_seasons(root: str, schema, name: str) -> None:
         frame = seasons.read_seasons(spark, root, schema, config.seasons)
-        tables.write_table(frame, f"{tables.RAW}.{name}", "season", config.only_seasons)
+        _write_seasons(config, frame, f"{tables.RAW}.{name}")
 
     def land_league() -> None:
         flat = league.flatten_league(
@@ -82,7 +88,7 @@ def build_marts(spark: SparkSession, config: PipelineConfig) -> None:
         return df
 
     def write(name: str, df: DataFrame) -> None:
-        tables.write_table(df, f"{tables.MARTS}.{name}", "season", config.only_seasons)
+        _write_seasons(config, df, f"{tables.MARTS}.{name}")
 
     box = {"listed": boxscore.player_game_stats, "player": boxscore.player_game_stats_by_player}[config.grain]
 
@@ -114,9 +120,10 @@ def check(spark: SparkSession) -> DataFrame:
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> DataFrame:
     """Land, build, check; returns the report, raises if a check of severity error is broken."""
-    land(spark, config)
-    create_staging_views(spark)
-    build_marts(spark, config)
+    with tables.partitions_replaced_singly(spark) if config.only_seasons else nullcontext():
+        land(spark, config)
+        create_staging_views(spark)
+        build_marts(spark, config)
     report = check(spark)
     checks.enforce(report)
     return report

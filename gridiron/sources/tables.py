@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Fixed database names; models land in exactly these.
@@ -13,25 +16,37 @@ def ensure_databases(spark: SparkSession) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
-def write_table(df: DataFrame, name: str, partition_by: str | None = None, only_partitions: bool = False) -> None:
-    """Replace a table, or with ``only_partitions`` just the partitions present in ``df``."""
-    if only_partitions and partition_by and df.sparkSession.catalog.tableExists(name):
-        target = df.sparkSession.table(name)
-        if set(df.columns) == set(target.columns):
-            (
-                df.select(*target.columns)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .insertInto(name)
-            )
-            return
-        raise ValueError(f"columns of {name} changed; refresh all partitions")
+@contextmanager
+def partitions_replaced_singly(spark: SparkSession) -> Iterator[None]:
+    """Within the block, overwriting a table by insert touches only the partitions written to."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, previous) if previous else spark.conf.unset(key)
+
+
+def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
+    """Replace a table as a whole."""
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.saveAsTable(name)
 
 
+def write_partitions(df: DataFrame, name: str, partition_by: str) -> None:
+    """Replace the partitions that ``df`` holds; to be called within :func:`partitions_replaced_singly`."""
+    if not df.sparkSession.catalog.tableExists(name):
+        write_table(df, name, partition_by)
+        return
+    target = df.sparkSession.table(name).columns
+    if set(df.columns) != set(target):
+        raise ValueError(f"the columns of {name} have changed; refresh all seasons")
+    df.select(*target).write.insertInto(name, overwrite=True)
+
+
 def by_partition(df: DataFrame, column: str) -> DataFrame:
     """Rows grouped by the table's partition column before a write.
 
