@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridiron import schemas
 from gridiron.sources.league import UNKNOWN_OWNER
 
 MY_USER_ID = "0"
@@ -141,20 +140,19 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One play per line item."""
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     for step in PLAY_STEPS:
-        kept = [] if step is PLAY_STEPS[0] else df.columns
-        df = df.selectExpr(*kept, *select_list(step))
-    return df.selectExpr(*select_list(PLAY_COLUMNS)).select(*schemas.PLAYS.fieldNames())
+        df = df.selectExpr(*([] if step is PLAY_STEPS[0] else ["*"]), *select_list(step))
+    return df.selectExpr(*select_list(PLAY_COLUMNS))
 
 
 def rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eleven roster slots for every team-week that has a line item."""
-    slots = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.lit(s).alias("slot"), F.lit(p).cast("string").alias("pos")) for i, s, p in SLOTS]
+    slots = ", ".join(
+        f"struct({i} AS i, '{s}' AS slot, {f"'{p}'" if p else 'CAST(NULL AS STRING)'} AS pos)" for i, s, p in SLOTS
     )
     team_weeks = (
         spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(*select_list(TEAM_WEEK_COLUMNS)).distinct()
     )
-    return team_weeks.select("*", F.inline(slots)).selectExpr(*select_list(ROSTER_COLUMNS))
+    return team_weeks.selectExpr("*", f"inline(array({slots}))").selectExpr(*select_list(ROSTER_COLUMNS))
 
 
 def league_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Fixed database names; models land in exactly these.
 RAW, STAGING, MARTS = "raw", "staging", "marts"
@@ -47,6 +49,22 @@ def write_partitions(df: DataFrame, name: str, partition_by: str) -> None:
     df.select(*target).write.insertInto(name, overwrite=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for written intermediate tables: the one the cluster names, else, on one machine, a new one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
+    return tempfile.mkdtemp(prefix="gridiron-")
+
+
+def write_files(df: DataFrame, path: str, partition_by: str) -> StructType:
+    """Write ``df`` to new files and give their schema, to continue from them: what is read back survives lost executors."""
+    by_partition(df, partition_by).write.mode("errorifexists").partitionBy(partition_by).parquet(path)
+    return df.schema
+
+
 def by_partition(df: DataFrame, column: str) -> DataFrame:
     """Rows grouped by the table's partition column before a write.
 

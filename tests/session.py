@@ -16,6 +16,8 @@ def local_session(cpus: str = "8", warehouse: str | None = None) -> SparkSession
         .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", os.path.join(warehouse, "tables"))
+        # Small inputs: let eight cores share what would otherwise become one or two tasks.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128KB")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
