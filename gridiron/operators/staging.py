@@ -5,7 +5,7 @@ A model is one declaration, usable as a lazy DataFrame and as a catalog view.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -27,6 +27,10 @@ class StagingModel:
         text = f"SELECT {', '.join(self.columns)} FROM {self.source}"
         return f"{text} WHERE {' AND '.join(self.where)}" if self.where else text
 
+    def without_no_play(self) -> StagingModel:
+        """The same model, also dropping plays of the type "no_play"."""
+        return replace(self, where=(*self.where, "play_type <> 'no_play'"))
+
 
 # The text "no_play" is a known play type and stays: the filters test for null only.
 STG_PBP = StagingModel(
@@ -78,14 +82,12 @@ STAGING_MODELS = {
 
 def stg_pbp(plays: DataFrame, exclude_no_play: bool = False) -> DataFrame:
     """Plays of known type and possession; ``exclude_no_play`` also drops the type "no_play"."""
-    kept = plays.where("play_type <> 'no_play'") if exclude_no_play else plays
-    return STG_PBP.build(kept)
+    return (STG_PBP.without_no_play() if exclude_no_play else STG_PBP).build(plays)
 
 
 def stg_pbp_player_stats(plays: DataFrame, exclude_no_play: bool = False) -> DataFrame:
     """Plays of known type with all player-attributed columns; a null team stays."""
-    kept = plays.where("play_type <> 'no_play'") if exclude_no_play else plays
-    return STG_PBP_PLAYER_STATS.build(kept)
+    return (STG_PBP_PLAYER_STATS.without_no_play() if exclude_no_play else STG_PBP_PLAYER_STATS).build(plays)
 
 
 def stg_rosters(rosters: DataFrame) -> DataFrame:

@@ -23,6 +23,9 @@ class PipelineConfig:
 
     ``only_seasons`` refreshes just the given seasons of the play and roster
     tables and of the marts built from them, leaving other partitions alone.
+    ``grain`` "listed" keeps one row per (team, name) pairing of a player's
+    week, "player" one row per player and week.  ``exclude_no_play`` drops plays
+    of the type "no_play", which the filters otherwise keep.
     """
 
     plays_root: str
@@ -34,6 +37,7 @@ class PipelineConfig:
     only_seasons: bool = False
     scoring: Mapping[str, float] = field(default_factory=lambda: dict(DEFAULT_SCORING))
     grain: str = "listed"
+    exclude_no_play: bool = False
 
 
 def _together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
@@ -75,8 +79,10 @@ def land(spark: SparkSession, config: PipelineConfig) -> None:
     )
 
 
-def create_staging_views(spark: SparkSession) -> None:
+def create_staging_views(spark: SparkSession, exclude_no_play: bool = False) -> None:
     for name, model in staging.STAGING_MODELS.items():
+        if exclude_no_play and "play_type IS NOT NULL" in model.where:
+            model = model.without_no_play()
         tables.create_view(spark, f"{tables.STAGING}.{name}", model.view_sql())
 
 
@@ -122,7 +128,7 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> DataFrame:
     """Land, build, check; returns the report, raises if a check of severity error is broken."""
     with tables.partitions_replaced_singly(spark) if config.only_seasons else nullcontext():
         land(spark, config)
-        create_staging_views(spark)
+        create_staging_views(spark, config.exclude_no_play)
         build_marts(spark, config)
     report = check(spark)
     checks.enforce(report)

@@ -63,13 +63,16 @@ def union_seasons(frames: Iterable[DataFrame], schema: T.StructType) -> DataFram
 def read_seasons(
     spark: SparkSession, root: str, schema: T.StructType, seasons: Iterable[int] | None = None
 ) -> DataFrame:
-    """All readable seasons below ``root``; a season that cannot be read is logged and skipped."""
+    """All readable seasons below ``root``; a season that cannot be read is logged and skipped.
+
+    The files of one season are taken to share their columns, so one footer per
+    season is read; seasons may differ.  The season comes from the directory,
+    so a later filter on it leaves the other directories unread.
+    """
     frames = []
     for season in seasons if seasons is not None else default_seasons():
         try:
-            frames.append(
-                spark.read.option("basePath", root).option("mergeSchema", True).parquet(f"{root}/season={season}")
-            )
+            frames.append(spark.read.option("basePath", root).parquet(f"{root}/season={season}"))
         except AnalysisException as error:
             log.warning("skipping season %s of %s: %s", season, root, error.getCondition())
     return union_seasons(frames, schema)

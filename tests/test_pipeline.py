@@ -118,8 +118,10 @@ def test_refresh_of_one_season_leaves_the_others(spark, landed, report, tmp_path
     assert dicts(stats.where("season = 2000").agg(F.max("week").alias("w"))) == [{"w": 2}]
 
 
-def test_player_grain(spark, landed):
-    pipeline.run_pipeline(spark, config(landed, grain="player"))
+def test_player_grain_without_no_play(spark, landed):
+    assert not spark.table("staging.stg_pbp").where("play_type = 'no_play'").isEmpty()
+    pipeline.run_pipeline(spark, config(landed, grain="player", exclude_no_play=True))
+    assert spark.table("staging.stg_pbp").where("play_type = 'no_play'").isEmpty()
     assert (
         spark.table("marts.fct_player_game_stats").groupBy("season", "week", "player_id").count().where("count > 1").isEmpty()
     )
