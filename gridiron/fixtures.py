@@ -136,9 +136,17 @@ def select_list(columns: dict[str, str]) -> list[str]:
     return [f"{expression} AS {name}" for name, expression in columns.items()]
 
 
+def spread_if_few_parts(df: DataFrame) -> DataFrame:
+    """Spread a file that is too small to occupy all cores; larger inputs are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, "l_orderkey", "l_linenumber")
+
+
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One play per line item."""
-    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    df = spread_if_few_parts(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     for step in PLAY_STEPS:
         df = df.selectExpr(*([] if step is PLAY_STEPS[0] else ["*"]), *select_list(step))
     return df.selectExpr(*select_list(PLAY_COLUMNS))
