@@ -157,13 +157,19 @@ def role_box(plays: DataFrame, role_name: str) -> DataFrame:
 
 
 def _credits(plays: DataFrame, role_names: list[str]) -> DataFrame:
-    """One row per play and credited player: the play's columns plus role, player_id, player_name."""
-    entries = ", ".join(
-        f"struct({ROLE_CODE[n]} AS role, {ROLES[n].player} AS player_id, "
-        f"{ROLES[n].name or 'CAST(NULL AS STRING)'} AS player_name)"
-        for n in role_names
+    """One row per play and credited player: the play's columns plus role, player_id, player_name.
+
+    Only role codes are unnested; id and name are picked afterwards, so that no
+    struct is built per play and role.
+    """
+    credited = ", ".join(f"CASE WHEN {ROLES[n].player} IS NOT NULL THEN {ROLE_CODE[n]} END" for n in role_names)
+    players = " ".join(f"WHEN {ROLE_CODE[n]} THEN {ROLES[n].player}" for n in role_names)
+    names = " ".join(f"WHEN {ROLE_CODE[n]} THEN {ROLES[n].name}" for n in role_names if ROLES[n].name)
+    return (
+        plays.selectExpr("*", f"explode(array({credited})) AS role")
+        .where("role IS NOT NULL")
+        .selectExpr("*", f"CASE role {players} END AS player_id", f"CASE role {names} END AS player_name")
     )
-    return plays.selectExpr("*", f"inline(array({entries}))").where("player_id IS NOT NULL")
 
 
 def player_keys(plays: DataFrame) -> DataFrame:
