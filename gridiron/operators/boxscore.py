@@ -38,10 +38,6 @@ class Role:
     counts: Mapping[str, str]
     sums: Mapping[str, str] = field(default_factory=dict)
 
-    @property
-    def keys(self) -> list[str]:
-        return KEY_COLUMNS if self.name else WEEK_KEYS
-
     @property
     def slots(self) -> dict[str, str]:
         """Metric -> generic slot: n0, n1, … for the counts, s0, s1, … for the sums."""
