@@ -12,14 +12,16 @@ def components(links: DataFrame) -> DataFrame:
     """node, label for all ids in `links` (a, b): the smallest id reachable.
 
     Alternates large-star and small-star steps, which only take minima over neighbours,
-    until nothing changes; each step's links are written to the shared folder.
+    until nothing changes.  Links and minima are written to the shared folder: then a
+    join shuffles both sides for itself, and Spark can split the rows of a node that
+    very many are linked to.
     """
     edges = written(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
     before = None
     while True:
-        edges = written(_small_star(_large_star(edges)), "links")
+        edges = written(_small_star(written(_large_star(edges), "links")), "links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -30,12 +32,12 @@ def components(links: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.where("a > b")
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     hung = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return hung.unionByName(least.select("a", F.col("m").alias("b"))).distinct()

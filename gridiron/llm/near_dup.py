@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     s = settings
     sketches = written(_sketches(docs, s), "sketches")
     real = sketches.where("id is not null and n > 0")
-    classes = real.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
+    classes = written(real.groupBy("d1", "d2").agg(F.min("id").alias("rep")), "classes")
     members = _bucket_members(real, classes)
     wanted = members.select(F.col("rep").alias("wanted")).distinct()
     sets = written(
@@ -233,12 +233,12 @@ def _bucket_members(real: DataFrame, classes: DataFrame) -> DataFrame:
     rows = reps.select("rep", "n", F.posexplode("bands").alias("band", "key")).select(
         F.xxhash64("band", "key").alias("key"), "rep", "n"
     )
-    full = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    full = written(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     kept = written(rows.join(full, "key"), "bucket-members")
     score = kept.groupBy("rep").agg(F.sum("size").alias("score"))
     kept = kept.join(score, "rep")
     centre = kept.groupBy("key").agg(F.max(F.struct("score", (-F.col("rep")).alias("back"))).alias("top"))
-    centre = centre.select("key", (-F.col("top.back")).alias("centre"))
+    centre = written(centre.select("key", (-F.col("top.back")).alias("centre")), "centres")
     return written(
         kept.join(centre, "key").select("key", "rep", "n", "score", "centre", F.lit(False).alias("done")), "bucket-members"
     )
@@ -264,7 +264,8 @@ def _linked(members: DataFrame, sets: DataFrame, s: Settings) -> DataFrame | Non
         state = state.drop("label", "home", "now")
         state = _labelled(_labelled(state, labels, "rep", "label"), labels, "centre", "home")
         open_ = state.where("not done").groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        state = written(state.join(open_.where("lo < hi").select("key"), "key", "left_semi"), "bucket-members")
+        open_ = written(open_.where("lo < hi").select("key"), "buckets")
+        state = written(state.join(open_, "key", "left_semi"), "bucket-members")
         if state.isEmpty():
             return labels
         centres *= 2

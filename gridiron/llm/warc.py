@@ -101,6 +101,7 @@ def with_originals(pages: DataFrame, least_bytes: int) -> DataFrame:
         .where("n > 1")
         .drop("n")
     )
+    originals = written(originals, "originals")  # a table, so that the join's hot digests can be split
     return rows.join(originals, "digest", "left").select("page_id", "url", "payload", "digest", "original")
 
 
