@@ -185,11 +185,10 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     Rows with the same set are one class, found by grouping a 128-bit digest.  A class
     is sketched into bands; classes that share a band are a bucket.  In each bucket one
     centre, the member with the fullest buckets, is a candidate for all others, which
-    bounds the pairs to the members.  Candidates are confirmed on their full sets.  A
-    bucket whose other members are not all linked together then gets further centres,
-    twice as many each round, from the members outside the first one's component, each
-    against all members of other components.  Rounds end when every pair of a bucket is
-    compared or connected, so no link is lost to the star shape.
+    bounds the pairs to the members.  Candidates are confirmed on their full sets.  The
+    rest are buckets whose other members are not all linked together: among their members
+    an exact prefix filter over the rarest shingles finds the pairs that may be links
+    and are not yet connected, so no link is lost to the star shape.
 
     Returns a row per input row: doc_id, n_shingles, component_id (the smallest doc_id
     reachable), kept.  Null, empty and blank texts have no shingles and link with
@@ -213,10 +212,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
     labels = _linked(members, sets, s)
     mine = sketches.join(classes, ["d1", "d2"], "left")
-    if labels is not None:
-        mine = mine.join(labels, mine.rep == labels.node, "left")
-    else:
-        mine = mine.withColumn("label", F.lit(None).cast("long"))
+    mine = mine.join(labels, mine.rep == labels.node, "left")
     linked = F.col("id").isNotNull() & (F.col("n") > 0)
     component = F.when(linked, F.coalesce("label", "rep")).otherwise(F.col("id"))
     return mine.select(
@@ -228,7 +224,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 
 def _bucket_members(real: DataFrame, classes: DataFrame) -> DataFrame:
-    """Buckets of two classes or more: key, rep, n, score (how many classes its buckets hold), centre, done."""
+    """Buckets of two classes or more: key, rep, n, centre (the member whose buckets hold most classes)."""
     reps = real.join(classes, ["d1", "d2"]).where("id = rep").select("rep", "n", "bands").dropDuplicates(["rep", "bands"])
     rows = reps.select("rep", "n", F.posexplode("bands").alias("band", "key")).select(
         F.xxhash64("band", "key").alias("key"), "rep", "n"
@@ -240,35 +236,65 @@ def _bucket_members(real: DataFrame, classes: DataFrame) -> DataFrame:
     centre = kept.groupBy("key").agg(F.max(F.struct("score", (-F.col("rep")).alias("back"))).alias("top"))
     centre = written(centre.select("key", (-F.col("top.back")).alias("centre")), "centres")
     return written(
-        kept.join(centre, "key").select("key", "rep", "n", "score", "centre", F.lit(False).alias("done")), "bucket-members"
+        kept.join(centre, "key").select("key", "rep", "n", "centre"), "bucket-members"
     )
 
 
-def _linked(members: DataFrame, sets: DataFrame, s: Settings) -> DataFrame | None:
+def _linked(members: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """node, label of the classes with links."""
-    links, labels, centres = None, None, 1
-    state = members.withColumn("label", F.col("rep")).withColumn("home", F.lit(None).cast("long"))
-    while True:
-        if labels is None:
-            pivots = state.where("rep = centre").select("key", "rep", "n", "label")
-        else:
-            rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "rep"))
-            outside = state.where("not done and label <> home")
-            pivots = outside.withColumn("at", rank).where(F.col("at") <= centres).select("key", "rep", "n", "label")
-            pivots = written(pivots, "pivots")
-        found = _confirmed(state, pivots, sets, s)
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        used = pivots.select("key", "rep", F.lit(True).alias("now"))
-        state = state.join(used, ["key", "rep"], "left").withColumn("done", F.col("done") | F.coalesce("now", F.lit(False)))
-        state = state.drop("label", "home", "now")
-        state = _labelled(_labelled(state, labels, "rep", "label"), labels, "centre", "home")
-        open_ = state.where("not done").groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        open_ = written(open_.where("lo < hi").select("key"), "buckets")
-        state = written(state.join(open_, "key", "left_semi"), "bucket-members")
-        if state.isEmpty():
-            return labels
-        centres *= 2
+    of_centre = members.where("rep = centre").select("key", F.col("rep").alias("a"), F.col("n").alias("na"))
+    star = of_centre.join(members.select("key", F.col("rep").alias("b"), F.col("n").alias("nb")), "key").where("a <> b")
+    star = star.where(100 * F.least("na", "nb") >= s.percent * F.greatest("na", "nb")).select("a", "b").distinct()
+    links = _confirmed(star, sets, s)
+    labels = components(links)
+    open_ = _open_members(members, labels)
+    if open_.isEmpty():
+        return labels
+    return components(links.unionByName(_confirmed(_rest(open_, sets, s), sets, s)))
+
+
+def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """rep, label and whether it is outside its first centre's component, of buckets with unconnected members besides their centre."""
+    state = _labelled(_labelled(members, labels, "rep", "label"), labels, "centre", "home")
+    ends = state.where("rep <> centre").groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    open_ = written(ends.where("lo < hi").select("key"), "buckets")
+    open_ = state.join(open_, "key", "left_semi").groupBy("rep").agg(
+        F.first("label").alias("label"), F.max(F.col("label") != F.col("home")).alias("outside")
+    )
+    return written(open_, "open-members")
+
+
+def _rest(open_: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Candidates (a, b) among open members of different components, by an exact prefix filter.
+
+    Each set is ordered by how rare its shingles are.  With the rarest ones a pair shares
+    first, at positions i and j, it shares no more than what follows; so a longer set need
+    only show as many as it may miss from the shortest partner, a shorter one as many as
+    it may miss from an equal one, and a pair needs enough left behind its first match.
+    """
+    p = s.percent
+    own = sets.join(open_, sets.id == open_.rep).select(
+        "id", F.xxhash64("id", "hashes").alias("of_set"), F.size("hashes").alias("n"), "label", "outside", "hashes"
+    )
+    each = own.select("id", "of_set", "n", "label", "outside", F.explode("hashes").alias("hash"))
+    often = written(each.groupBy("hash").agg(F.count("*").alias("often")).where("often > 1"), "often")
+    rarest = Window.partitionBy("id", "of_set").orderBy(F.coalesce("often", F.lit(1)), "hash")
+    placed = each.join(often, "hash", "left").withColumn("at", F.row_number().over(rarest) - 1)
+    to_longer = F.col("n") - F.ceil(F.lit(2 * p) * F.col("n") / (100 + p)) + 1
+    to_shorter = F.col("n") - F.ceil(F.lit(p) * F.col("n") / 100) + 1
+    # a shingle of one set only can't match
+    shown = written(placed.where((F.col("at") < to_shorter) & F.col("often").isNotNull()), "prefixes")
+    long = shown.select("hash", *(F.col(c).alias(f"x_{c}") for c in ("id", "n", "label", "outside", "at")))
+    short = shown.where(F.col("at") < to_longer)
+    short = short.select("hash", *(F.col(c).alias(f"y_{c}") for c in ("id", "n", "label", "outside", "at")))
+    left = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    fits = (
+        (F.col("x_label") != F.col("y_label"))
+        & (F.col("x_outside") | F.col("y_outside"))
+        & (F.col("x_n") >= F.col("y_n"))
+        & ((100 + p) * left >= p * (F.col("x_n") + F.col("y_n")))
+    )
+    return long.join(short, "hash").where(fits).select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
 
 
 def _labelled(state: DataFrame, labels: DataFrame, of: str, name: str) -> DataFrame:
@@ -276,15 +302,8 @@ def _labelled(state: DataFrame, labels: DataFrame, of: str, name: str) -> DataFr
     return state.join(labels, of, "left").withColumn(name, F.coalesce(name, of))
 
 
-def _confirmed(state: DataFrame, pivots: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """Links (a, b) between pivots and members of other components in their buckets."""
-    pivots = pivots.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("label").alias("of"))
-    near = (
-        pivots.join(state.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), "label"), "key")
-        .where((F.col("of") != F.col("label")) & (100 * F.least("na", "nb") >= s.percent * F.greatest("na", "nb")))
-        .select("a", "b")
-        .distinct()
-    )
+def _confirmed(near: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Those of the candidates (a, b) that are links on their full sets."""
     both = near.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b").join(
         sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha")), "a"
     )
