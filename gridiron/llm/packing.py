@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -17,14 +18,16 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordIds:
-    """Token ids of texts by a tokenizer for which white space always ends a token.
+    """Token ids of texts by a tokenizer that lower-cases and for which white space always ends a token.
 
     Texts are cut at blanks, line ends and tabs; the ids of a part are kept and looked
-    up, so the tokenizer only sees parts that are new to this worker.  The store is
-    emptied when it is full, which changes no result.
+    up, so the tokenizer only sees parts that are new to this task.  New parts that are
+    surely one word, or one and a punctuation mark, are encoded together in lines, told
+    apart by the ids that end a word.  The store is emptied when it is full, which
+    changes no result.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -32,32 +35,55 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.most = most
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.first, self.count, self.flat, self.used = np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.uint32), 0
+        self.count, self.flat = np.zeros(0, int), np.zeros(0, np.uint32)
 
     def learn(self, parts: list[str]) -> None:
+        plain, odd, words = [], [], []
         for p in parts:
+            if p.isalpha() and max(p) < "\u0100":
+                words.append(1)
+                plain.append(p)
+            elif p[-1:] in (".", ",") and p[:-1].isalpha() and max(p) < "\u0100":
+                words.append(2)
+                plain.append(p)
+            else:
+                odd.append(p)
+        lines = [" ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
+        flat, counts = self._encoded(lines)
+        past = np.flatnonzero(self.ends[flat])[np.cumsum(words) - 1] + 1 if plain else np.zeros(0, int)
+        more, each = self._encoded(odd)
+        for p in (*plain, *odd):
             self.index[p] = len(self.index)
-        ids = [e.ids for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
+        self.count = np.concatenate([self.count, np.diff(past, prepend=0), each])
+        self.flat = np.concatenate([self.flat, flat, more])
+        self.first = np.cumsum(self.count) - self.count
+
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.fromiter(map(len, ids), int, len(ids))
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(counts) - counts])
-        self.count = np.concatenate([self.count, counts])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(counts.sum()))])
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum())), counts
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
-        known = set().union(*parts)
-        new = [p for p in known if p not in self.index]
-        if len(self.index) + len(new) > self.most or len(self.flat) > 8 * self.most:
-            self.clear()
-            new = list(known)
-        if new:
-            self.learn(new)
-        at = np.fromiter((self.index[p] for x in parts for p in x), int, sum(map(len, parts)))
+        parts = [
+            t.encode().lower().decode().replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts
+        ]
+        flat = list(chain.from_iterable(parts))
+        at = np.fromiter(map(self.index.get, flat, repeat(-1)), int, len(flat))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            missing = list(dict.fromkeys(flat[i] for i in new))
+            if len(self.index) + len(missing) > self.most:
+                self.clear()
+                missing, new = list(dict.fromkeys(flat)), np.arange(len(flat))
+            self.learn(missing)
+            at[new] = np.fromiter((self.index[flat[i]] for i in new), int, len(new))
         counts = self.count[at]
         ends = np.cumsum(counts)
         ids = self.flat[np.repeat(self.first[at] - ends + counts, counts) + np.arange(ends[-1])]
