@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridiron.llm.common import WHITE, hash128, lower_ascii, others, unpack
+from gridiron.llm.common import WHITE, hash128, lower_ascii, others, unpack, written
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
@@ -15,8 +15,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Data
     lower-cased; shorter ones than `min_chars` code points always stay.  Each line
     is exploded as its position and a 128-bit hash, the documents of a hash are
     counted with a partial aggregate, so a line found everywhere is a few rows per
-    task, and the dropped positions are gathered per document.  The join back to
-    the hashes is a sort-merge join whose hot keys Spark splits.
+    task, and the dropped positions are gathered per document.  Shared hashes are
+    written as a table, so the join back to them is one whose hot keys Spark splits.
 
     Returns the documents with `text` replaced, and n_lines, n_dropped.  A null
     text counts as one empty line and becomes empty; rows without doc_id keep all
@@ -40,6 +40,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Data
     shared = (
         keys.groupBy("h1", "h2").agg(F.min("id").alias("keeper"), held.alias("shared")).where("shared").drop("shared")
     )
+    shared = written(shared, "shared-lines")
     dropped = (
         keys.join(shared, ["h1", "h2"])
         .where("id > keeper")
