@@ -17,8 +17,8 @@ def assign_shards(docs: DataFrame, shards: int = 16, rounds: int = 8, seats: int
     to move there.  From shard s to t as many may move as move back, and as t has free
     seats, shared out by demand.  Documents without links take the seats left over, so
     the counts come out exactly; a group larger than a shard fills several.  Rounds end
-    when none moves or after `rounds`.  Groups are only ever aggregated, so a group of a
-    third of all rows is a few rows per task.
+    when none moves or after `rounds`.  Groups are only ever aggregated, and joined as
+    written tables, so the rows of a group of a third of all are split over tasks.
 
     Returns doc_id, size (bytes of the text plus 1), text_crc32, shard, slot (from 0
     within the shard), n_alike (documents of the same text) and moved (its round, 0:
@@ -35,7 +35,7 @@ def assign_shards(docs: DataFrame, shards: int = 16, rounds: int = 8, seats: int
         ),
         "shard-rows",
     )
-    groups = rows.groupBy("g1", "g2").agg(F.count("*").alias("n_alike")).where("n_alike > 1")
+    groups = written(rows.groupBy("g1", "g2").agg(F.count("*").alias("n_alike")).where("n_alike > 1"), "shard-groups")
     order = ["doc_id", "g1", "g2", "size"]
     linked = written(
         ranked(rows.join(groups, ["g1", "g2"]), [], order)
@@ -100,6 +100,7 @@ def _asking(spark: SparkSession, linked: DataFrame, room: dict[int, int]) -> Dat
     )
     # a full first choice keeps what it holds; the others gather in the fullest open one
     best = best.select("g1", "g2", F.col("first.shard").alias("home"), F.coalesce("open.shard", "first.shard").alias("open"))
+    best = written(best, "shard-votes")
     want = linked.join(best, ["g1", "g2"]).join(
         F.broadcast(rooms.select(F.col("shard").alias("home"), F.col("room").alias("home_room"))), "home"
     )
