@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain, count, filterfalse, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from gridiron.llm.common import ranked, written
 
+#: Surely one word of the tokenizer, or one and a mark: letters of Latin-1 that are what they are when lower-cased and composed.
+PLAIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[.,]?")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -45,22 +48,14 @@ class WordIds:
         self.count, self.flat = np.zeros(0, int), np.zeros(0, np.uint32)
 
     def learn(self, parts: list[str]) -> None:
-        plain, odd, words = [], [], []
-        for p in parts:
-            if p.isalpha() and max(p) < "\u0100":
-                words.append(1)
-                plain.append(p)
-            elif p[-1:] in (".", ",") and p[:-1].isalpha() and max(p) < "\u0100":
-                words.append(2)
-                plain.append(p)
-            else:
-                odd.append(p)
+        plain = list(filter(PLAIN.fullmatch, parts))
+        odd = list(filterfalse(PLAIN.fullmatch, parts))
+        words = [2 if p[-1] in ".," else 1 for p in plain]
         lines = [" ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
         flat, counts = self._encoded(lines)
         past = np.flatnonzero(self.ends[flat])[np.cumsum(words) - 1] + 1 if plain else np.zeros(0, int)
         more, each = self._encoded(odd)
-        for p in (*plain, *odd):
-            self.index[p] = len(self.index)
+        self.index.update(zip(chain(plain, odd), count(len(self.index))))
         self.count = np.concatenate([self.count, np.diff(past, prepend=0), each])
         self.flat = np.concatenate([self.flat, flat, more])
         self.first = np.cumsum(self.count) - self.count
@@ -78,12 +73,13 @@ class WordIds:
         at = np.fromiter(map(self.index.get, flat, repeat(-1)), int, len(flat))
         new = np.flatnonzero(at < 0)
         if len(new):
-            missing = list(dict.fromkeys(flat[i] for i in new))
+            unknown = list(map(flat.__getitem__, new.tolist()))
+            missing = list(dict.fromkeys(unknown))
             if len(self.index) + len(missing) > self.most:
                 self.clear()
-                missing, new = list(dict.fromkeys(flat)), np.arange(len(flat))
+                missing, new, unknown = list(dict.fromkeys(flat)), slice(None), flat
             self.learn(missing)
-            at[new] = np.fromiter((self.index[flat[i]] for i in new), int, len(new))
+            at[new] = np.fromiter(map(self.index.__getitem__, unknown), int, len(unknown))
         counts = self.count[at]
         ends = np.cumsum(counts)
         ids = self.flat[np.repeat(self.first[at] - ends + counts, counts) + np.arange(ends[-1])]
