@@ -49,8 +49,10 @@ def _together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
 
 
 def _write_seasons(config: PipelineConfig, df: DataFrame, name: str) -> None:
-    write = tables.write_partitions if config.only_seasons else tables.write_table
-    write(df, name, "season")
+    if config.only_seasons:
+        tables.write_partitions(df, name, "season", config.seasons)
+    else:
+        tables.write_table(df, name, "season")
 
 
 def land(spark: SparkSession, config: PipelineConfig) -> None:
@@ -106,13 +108,13 @@ def build_marts(spark: SparkSession, config: PipelineConfig) -> None:
         write("fct_team_week_epa", tables.by_partition(teams.team_week_epa(staged("stg_pbp")), "season"))
 
     def build_player_week() -> None:
-        write("fct_player_week", players.player_week(staged("stg_rosters")))
+        write("fct_player_week", tables.by_partition(players.player_week(staged("stg_rosters")), "season"))
 
     def build_roster_status() -> None:
         # Ownership is a snapshot: a new one applies to all weeks, so this mart is always built in full.
         weeks = spark.table(f"{tables.MARTS}.fct_player_week")
         status = players.player_roster_status(weeks, spark.table(f"{tables.STAGING}.stg_sleeper_rosters"))
-        tables.write_table(status, f"{tables.MARTS}.fct_player_roster_status", "season")
+        tables.write_table(tables.by_partition(status, "season"), f"{tables.MARTS}.fct_player_roster_status", "season")
 
     _together(spark, [build_game_stats, build_team_week, build_player_week])
     build_roster_status()
@@ -130,6 +132,7 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> DataFrame:
         land(spark, config)
         create_staging_views(spark, config.exclude_no_play)
         build_marts(spark, config)
-    report = check(spark)
+    rows = check(spark)
+    report = spark.createDataFrame(rows.collect(), rows.schema)  # a row per check
     checks.enforce(report)
     return report

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,8 +12,12 @@ UNKNOWN_OWNER = "unknown"
 
 
 def read_league_rosters(spark: SparkSession, path: str) -> DataFrame:
-    """Roster documents: JSON arrays, one file per league; files are read in parallel."""
-    return spark.read.schema(LEAGUE_ROSTERS_JSON).json(path, multiLine=True)
+    """Roster documents: JSON arrays, one file per league; files are read in parallel.
+
+    A broken document and an element without roster_id (an error response) are errors.
+    """
+    rosters = spark.read.schema(LEAGUE_ROSTERS_JSON).json(path, multiLine=True, mode="FAILFAST")
+    return rosters.withColumn("roster_id", _required("roster_id", "a league document has a roster without roster_id"))
 
 
 def read_league_users(spark: SparkSession, path: str) -> DataFrame:
@@ -21,16 +25,17 @@ def read_league_users(spark: SparkSession, path: str) -> DataFrame:
 
     A user without ``display_name`` is named "unknown", a user whose
     ``display_name`` is null keeps the null.  A struct schema would merge the
-    two cases, so each user is parsed as a map.
+    two cases, so each user is parsed as a map.  A broken document and an element
+    without user_id (an error response) are errors.
     """
     documents = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"),
-        F.from_json("value", T.ArrayType(LEAGUE_USER)).alias("users"),
+        F.from_json("value", T.ArrayType(LEAGUE_USER), {"mode": "FAILFAST"}).alias("users"),
     )
     users = documents.select("file", F.posexplode("users").alias("pos", "user"))
     return last_user_wins(
         users.select(
-            F.col("user")["user_id"].alias("user_id"),
+            _required(F.col("user")["user_id"], "a league document has a user without user_id").alias("user_id"),
             F.when(F.map_contains_key("user", "display_name"), F.col("user")["display_name"])
             .otherwise(UNKNOWN_OWNER)
             .alias("owner_name"),
@@ -39,6 +44,10 @@ def read_league_users(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _required(column: str | Column, message: str) -> Column:
+    return F.coalesce(column, F.raise_error(F.lit(message)))
+
+
 def last_user_wins(users: DataFrame) -> DataFrame:
     """One row per user_id: the one with the highest ``seq``."""
     return users.groupBy("user_id").agg(F.max_by("owner_name", "seq").alias("owner_name"))

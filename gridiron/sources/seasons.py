@@ -7,7 +7,8 @@ import logging
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,6 +74,6 @@ def read_seasons(
     for season in seasons if seasons is not None else default_seasons():
         try:
             frames.append(spark.read.option("basePath", root).parquet(f"{root}/season={season}"))
-        except AnalysisException as error:
-            log.warning("skipping season %s of %s: %s", season, root, error.getCondition())
+        except (PySparkException, Py4JJavaError) as error:  # no such path, or a damaged footer
+            log.warning("skipping season %s of %s: %s", season, root, str(error).splitlines()[0])
     return union_seasons(frames, schema)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
 
 #: Fixed database names; models land in exactly these.
 RAW, STAGING, MARTS = "raw", "staging", "marts"
@@ -31,38 +31,59 @@ def partitions_replaced_singly(spark: SparkSession) -> Iterator[None]:
 
 
 def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
-    """Replace a table as a whole."""
-    writer = df.write.mode("overwrite").format("parquet")
+    """Replace a table as a whole.
+
+    The new one is written beside the old one, which goes when the new one is complete;
+    if the write fails the old one stays.
+    """
+    spark = df.sparkSession
+    fresh = f"{name}_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(name)
+    try:
+        writer.saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    if partition_by:
+        _follow_rename(spark, name)
 
 
-def write_partitions(df: DataFrame, name: str, partition_by: str) -> None:
-    """Replace the partitions that ``df`` holds; to be called within :func:`partitions_replaced_singly`."""
-    if not df.sparkSession.catalog.tableExists(name):
+def _follow_rename(spark: SparkSession, name: str) -> None:
+    """Partitions keep the place they had before a table was renamed in some catalogs; tell them the new one."""
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        column, _, value = row.partition.partition("=")
+        value = value if value.lstrip("-").isdigit() else f"'{value}'"
+        spark.sql(f"ALTER TABLE {name} PARTITION ({column} = {value}) SET LOCATION '{about['Location']}/{row.partition}'")
+
+
+def write_partitions(df: DataFrame, name: str, partition_by: str, requested: Iterable[int] | None = None) -> None:
+    """Replace the partitions that ``df`` holds and drop those ``requested`` that it does not hold.
+
+    Columns that only the table or only ``df`` has are null in the other's rows.
+    To be called within :func:`partitions_replaced_singly`.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
         write_table(df, name, partition_by)
         return
-    target = df.sparkSession.table(name).columns
-    if set(df.columns) != set(target):
-        raise ValueError(f"the columns of {name} have changed; refresh all seasons")
-    df.select(*target).write.insertInto(name, overwrite=True)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder for written intermediate tables: the one the cluster names, else, on one machine, a new one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
-    return tempfile.mkdtemp(prefix="gridiron-")
-
-
-def write_files(df: DataFrame, path: str, partition_by: str) -> StructType:
-    """Write ``df`` to new files and give their schema, to continue from them: what is read back survives lost executors."""
-    by_partition(df, partition_by).write.mode("errorifexists").partitionBy(partition_by).parquet(path)
-    return df.schema
+    target = spark.table(name).schema
+    new = [f for f in df.schema if f.name not in target.fieldNames()]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+        target = spark.table(name).schema
+    have = set(df.columns)
+    columns = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in target]
+    df.select(*columns).write.insertInto(name, overwrite=True)
+    wanted = set(requested or ())
+    if wanted:
+        held = {r[0] for r in df.select(partition_by).where(F.col(partition_by).isin(list(wanted))).distinct().collect()}
+        for value in sorted(wanted - held):
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition_by} = {value})")
 
 
 def by_partition(df: DataFrame, column: str) -> DataFrame:

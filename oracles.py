@@ -318,8 +318,8 @@ def oracle_sql() -> dict[str, str]:
         "stg_league_rosters": _with("SELECT * FROM league"),
         "season_union": _with(
             "SELECT season, week, game_id, posteam, play_type, yards_gained, "
-            "CASE WHEN season = 1999 THEN epa END AS epa, CASE WHEN season = 2000 THEN air_yards END AS air_yards "
-            "FROM plays WHERE season IN (1999, 2000)"
+            "CASE WHEN season % 2 = 1 THEN epa END AS epa, CASE WHEN season % 2 = 0 THEN air_yards END AS air_yards "
+            "FROM plays"
         ),
         "team_week_epa": _with(
             "SELECT season, posteam AS team, week, count(*) AS plays, avg(epa) AS avg_epa FROM plays "

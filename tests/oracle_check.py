@@ -70,7 +70,7 @@ def main() -> int:
     failed = 0
     sql = entry.oracle_sql()
     for name, query in entry.queries().items():
-        if wanted and name not in wanted:
+        if name not in sql or wanted and name not in wanted:
             continue
         start = time.time()
         count, problems = compare(spark, con, query, sql[name], sf_dir)

@@ -9,7 +9,7 @@ from gridiron import fixtures
 from gridiron.operators import boxscore, players, staging, teams
 from gridiron.plans import checks, pipeline
 from gridiron.plans import queries as q
-from gridiron.sources import league
+from gridiron.sources import league, tables
 from tests.rows import dicts
 from tests.test_boxscore import same_rows
 
@@ -125,3 +125,22 @@ def test_player_grain_without_no_play(spark, landed):
     assert (
         spark.table("marts.fct_player_game_stats").groupBy("season", "week", "player_id").count().where("count > 1").isEmpty()
     )
+
+
+def test_failed_overwrite_keeps_the_old_table(spark):
+    tables.ensure_databases(spark)
+    tables.write_table(spark.range(3), "raw.kept")
+    with pytest.raises(Exception):
+        tables.write_table(spark.range(3).selectExpr("raise_error('broken') AS id"), "raw.kept")
+    assert spark.table("raw.kept").count() == 3
+    assert [t.name for t in spark.catalog.listTables("raw") if t.name.startswith("kept")] == ["kept"]
+    spark.sql("DROP TABLE raw.kept")
+
+
+def test_refresh_drops_empty_seasons_and_follows_columns(spark):
+    tables.ensure_databases(spark)
+    tables.write_table(spark.sql("SELECT 1 AS a, 1 AS b, 2024 AS season UNION ALL SELECT 2, 2, 2025"), "raw.drift", "season")
+    with tables.partitions_replaced_singly(spark):
+        tables.write_partitions(spark.sql("SELECT 3 AS a, 4 AS c, 2024 AS season"), "raw.drift", "season", [2024, 2025])
+    assert [tuple(r) for r in spark.table("raw.drift").select("a", "b", "c", "season").collect()] == [(3, None, 4, 2024)]
+    spark.sql("DROP TABLE raw.drift")

@@ -104,3 +104,29 @@ def test_league_without_players(spark, tmp_path):
     df = league_frame(spark, tmp_path, [{"roster_id": 1, "owner_id": "1"}], [{"user_id": "1", "display_name": "me"}])
     assert df.count() == 0
     assert df.columns == ["roster_id", "owner_id", "owner_name", "is_my_roster", "sleeper_id", "wins", "losses"]
+
+
+@pytest.mark.parametrize("rosters", ['[{"roster_id": 1, "owner', '{"error": "unavailable"}', ""])
+def test_broken_rosters_fail(spark, tmp_path, rosters):
+    (tmp_path / "rosters.json").write_text(rosters)
+    rows = league.read_league_rosters(spark, str(tmp_path / "rosters.json"))
+    if rosters:
+        with pytest.raises(Exception):
+            rows.collect()
+    else:
+        assert rows.count() == 0
+
+
+@pytest.mark.parametrize("users", ['[{"user_id": "1", "disp', '{"error": "unavailable"}'])
+def test_broken_users_fail(spark, tmp_path, users):
+    (tmp_path / "users.json").write_text(users)
+    with pytest.raises(Exception):
+        league.read_league_users(spark, str(tmp_path / "users.json")).collect()
+
+
+def test_damaged_season_is_skipped(spark, tmp_path):
+    spark.sql("SELECT 1 AS a").write.parquet(f"{tmp_path}/season=2024")
+    (tmp_path / "season=2025").mkdir()
+    (tmp_path / "season=2025" / "part-0.parquet").write_bytes(b"damaged")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("season", T.IntegerType())])
+    assert [r.season for r in seasons.read_seasons(spark, str(tmp_path), schema, [2023, 2024, 2025]).collect()] == [2024]
