@@ -13,10 +13,10 @@ def assign_shards(docs: DataFrame, shards: int = 16, rounds: int = 8, seats: int
 
     Documents of equal text are linked.  Those with links start evenly dealt and then
     move in rounds: the members of a group are counted by shard, the group names the
-    shard that holds most of them and can still take some, and its members elsewhere ask
-    to move there.  From shard s to t as many may move as move back, and as t has free
+    fullest as its home (several if it is larger than a shard, and then from the second
+    round on), and its members elsewhere ask to move there.  From shard s to t as many may move as move back, and as t has free
     seats, shared out by demand.  Documents without links take the seats left over, so
-    the counts come out exactly; a group larger than a shard fills several.  Rounds end
+    the counts come out exactly.  Rounds end
     when none moves or after `rounds`.  Groups are only ever aggregated, and joined as
     written tables, so the rows of a group of a third of all are split over tasks.
 
@@ -41,7 +41,7 @@ def assign_shards(docs: DataFrame, shards: int = 16, rounds: int = 8, seats: int
         ranked(rows.join(groups, ["g1", "g2"]), [], order)
         .withColumn("shard", F.pmod("rank", F.lit(shards)).cast("int"))
         .withColumn("moved", F.lit(0))
-        .drop("rank"),
+        .withColumnRenamed("rank", "nth"),
         "shard-linked",
     )
     total = rows.count()
@@ -49,24 +49,29 @@ def assign_shards(docs: DataFrame, shards: int = 16, rounds: int = 8, seats: int
     for turn in range(1, rounds + 1):
         held = {r.shard: r.n for r in linked.groupBy("shard").agg(F.count("*").alias("n")).collect()}
         room = {s: quota[s] - held.get(s, 0) for s in range(shards)}
-        asking = _asking(spark, linked, room)
+        asking = _asking(spark, linked, room, quota[-1])
+        if turn == 1:
+            asking = asking.where(F.col("n_alike") <= quota[-1])
+        asking = written(asking, "shard-moves")
         demand = {(r.shard, r.to): r.n for r in asking.groupBy("shard", "to").agg(F.count("*").alias("n")).collect()}
         allowed = _allowed(demand, room)
         if not any(allowed.values()):
+            if turn == 1:
+                continue
             break
         moves = spark.createDataFrame(
             [(s, t, n) for (s, t), n in allowed.items()], "shard int, to int, allowed long"
         )
         movers = ranked(asking, ["shard", "to"], order).join(F.broadcast(moves), ["shard", "to"])
         goes = F.col("rank") < F.col("allowed")
-        stay = linked.join(asking.select("g1", "g2", "shard").distinct(), ["g1", "g2", "shard"], "left_anti")
         columns = linked.columns
+        gone = movers.where(goes).select("nth", "to")
+        moved = F.col("to").isNotNull()
         linked = written(
-            stay.select(columns).unionByName(
-                movers.withColumn("moved", F.when(goes, F.lit(turn)).otherwise(F.col("moved")))
-                .withColumn("shard", F.when(goes, F.col("to")).otherwise(F.col("shard")))
-                .select(columns)
-            ),
+            linked.join(gone, "nth", "left")
+            .withColumn("moved", F.when(moved, F.lit(turn)).otherwise(F.col("moved")))
+            .withColumn("shard", F.coalesce("to", "shard"))
+            .select(columns),
             "shard-linked",
         )
     held = {r.shard: r.n for r in linked.groupBy("shard").agg(F.count("*").alias("n")).collect()}
@@ -88,27 +93,38 @@ def assign_shards(docs: DataFrame, shards: int = 16, rounds: int = 8, seats: int
     return ranked(placed, ["shard"], order, "slot").drop("g1", "g2")
 
 
-def _asking(spark: SparkSession, linked: DataFrame, room: dict[int, int]) -> DataFrame:
-    """Members that want to move, and where to: the fullest of their group's shards, or one with room if it has none."""
+def _asking(spark: SparkSession, linked: DataFrame, room: dict[int, int], quota: int) -> DataFrame:
+    """Members that want to move, and where to.
+
+    A group's homes are the fullest of its shards, as many as it needs.  Members elsewhere
+    ask for one of the homes with room, shared out by a hash; if none has room, for the
+    fullest of the group's shards that has, or else for a home, in exchange.
+    """
     rooms = spark.createDataFrame(list(room.items()), "shard int, room long")
     votes = linked.groupBy("g1", "g2", "shard").agg(F.count("*").alias("n")).join(F.broadcast(rooms), "shard")
-    best = votes.groupBy("g1", "g2").agg(
-        F.max(F.struct("n", F.xxhash64("g1", "shard").alias("tie"), "shard")).alias("first"),
-        F.max(
-            F.when(F.col("room") > 0, F.struct("n", F.xxhash64("g1", "shard").alias("tie"), "shard"))
-        ).alias("open"),
-    )
-    # a full first choice keeps what it holds; the others gather in the fullest open one
-    best = best.select("g1", "g2", F.col("first.shard").alias("home"), F.coalesce("open.shard", "first.shard").alias("open"))
-    best = written(best, "shard-votes")
-    want = linked.join(best, ["g1", "g2"]).join(
-        F.broadcast(rooms.select(F.col("shard").alias("home"), F.col("room").alias("home_room"))), "home"
+    ordered = F.sort_array(F.collect_list(F.struct("n", F.xxhash64("g1", "shard").alias("tie"), "shard", "room")), False)
+    by_group = votes.groupBy("g1", "g2").agg(ordered.alias("held"), F.sum("n").alias("n"))  # at most a row per shard
+    homes = F.slice("held", F.lit(1), F.ceil(F.col("n") / max(1, quota)).cast("int"))
+    best = by_group.select("g1", "g2", homes.alias("homes"), F.filter("held", lambda x: x["room"] > 0).alias("open"))
+    best = written(
+        best.select(
+            "g1",
+            "g2",
+            F.col("homes.shard").alias("homes"),
+            F.when(F.exists("homes", lambda x: x["room"] > 0), F.filter("homes", lambda x: x["room"] > 0))
+            .when(F.size("open") > 0, F.slice("open", 1, 1))
+            .otherwise(F.col("homes"))["shard"]
+            .alias("to"),
+        ),
+        "shard-votes",
     )
-    to = F.when(F.col("home_room") > 0, F.col("home")).otherwise(F.col("open"))
+    choice = F.get("to", F.pmod(F.xxhash64("doc_id", "size"), F.size("to")).cast("int"))
     return (
-        want.withColumn("to", to)
-        .where((F.col("shard") != F.col("to")) & (F.col("shard") != F.col("home")))
-        .drop("home", "home_room", "open")
+        linked.join(best, ["g1", "g2"])
+        .where(~F.array_contains("homes", F.col("shard")))
+        .withColumn("to", choice)
+        .where(F.col("shard") != F.col("to"))
+        .drop("homes")
     )
 
 
