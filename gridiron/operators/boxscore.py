@@ -119,15 +119,15 @@ NAMING = [name for name, role in ROLES.items() if role.name]
 ROLE_CODE = {name: code for code, name in enumerate(ROLES)}
 NAMING_CODES = ", ".join(str(ROLE_CODE[name]) for name in NAMING)
 
-#: Output order of the stats.
-STATS = (
-    "pass_attempts completions passing_yards passing_tds interceptions passing_two_pt "
-    "rush_attempts rushing_yards rushing_tds rushing_two_pt "
-    "targets receptions receiving_yards receiving_tds air_yards yards_after_catch receiving_two_pt "
-    "fumbles fumbles_lost fumble_recovery_tds "
-    "fg_made_0_19 fg_made_20_29 fg_made_30_39 fg_made_40_49 fg_made_50_59 fg_made_60_plus "
-    "fg_missed pat_made pat_missed"
-).split()
+#: The stats in their output order.
+STATS = [
+    "pass_attempts", "completions", "passing_yards", "passing_tds", "interceptions", "passing_two_pt",
+    "rush_attempts", "rushing_yards", "rushing_tds", "rushing_two_pt",
+    "targets", "receptions", "receiving_yards", "receiving_tds", "air_yards", "yards_after_catch", "receiving_two_pt",
+    "fumbles", "fumbles_lost", "fumble_recovery_tds",
+    "fg_made_0_19", "fg_made_20_29", "fg_made_30_39", "fg_made_40_49", "fg_made_50_59", "fg_made_60_plus",
+    "fg_missed", "pat_made", "pat_missed",
+]
 
 
 # ---------------------------------------------------------------- one role

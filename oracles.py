@@ -217,19 +217,43 @@ def _tiles(position: str | None) -> str:
         chosen = (
             f"SELECT player_name FROM mine_weeks WHERE position = '{position}' ORDER BY player_id, player_name LIMIT 1"
         )
+    # fixed values: labels and stats of the tiles
     per_position = {
-        "QB": "Pass Attempts=pass_attempts,Completions=completions,Passing Yards=passing_yards,"
-        "Passing TDs=passing_tds,Interceptions=interceptions",
-        "RB": "Rush Attempts=rush_attempts,Rushing Yards=rushing_yards,Rushing TDs=rushing_tds,Targets=targets,"
-        "Receiving Yards=receiving_yards",
-        "WR": "Targets=targets,Receptions=receptions,Receiving Yards=receiving_yards,Receiving TDs=receiving_tds",
-        "TE": "Targets=targets,Receptions=receptions,Receiving Yards=receiving_yards,Receiving TDs=receiving_tds",
-        None: "Targets=targets,Receiving Yards=receiving_yards,Rushing Yards=rushing_yards",
+        "QB": [
+            ("Pass Attempts", "pass_attempts"),
+            ("Completions", "completions"),
+            ("Passing Yards", "passing_yards"),
+            ("Passing TDs", "passing_tds"),
+            ("Interceptions", "interceptions"),
+        ],
+        "RB": [
+            ("Rush Attempts", "rush_attempts"),
+            ("Rushing Yards", "rushing_yards"),
+            ("Rushing TDs", "rushing_tds"),
+            ("Targets", "targets"),
+            ("Receiving Yards", "receiving_yards"),
+        ],
+        "WR": [
+            ("Targets", "targets"),
+            ("Receptions", "receptions"),
+            ("Receiving Yards", "receiving_yards"),
+            ("Receiving TDs", "receiving_tds"),
+        ],
+        "TE": [
+            ("Targets", "targets"),
+            ("Receptions", "receptions"),
+            ("Receiving Yards", "receiving_yards"),
+            ("Receiving TDs", "receiving_tds"),
+        ],
+        None: [
+            ("Targets", "targets"),
+            ("Receiving Yards", "receiving_yards"),
+            ("Rushing Yards", "rushing_yards"),
+        ],
     }
     parts = []
     for pos, tiles in per_position.items():
-        for i, tile in enumerate(tiles.split(",")):
-            label, stat = tile.split("=")
+        for i, (label, stat) in enumerate(tiles):
             condition = f"pos = '{pos}'" if pos else "coalesce(pos, '') NOT IN ('QB', 'RB', 'WR', 'TE')"
             parts.append(
                 f"SELECT CAST({i} AS INTEGER) AS tile, '{label}' AS label, "
@@ -283,26 +307,26 @@ def _board(pool: str, position: str) -> str:
 
 def _quality() -> str:
     checks = [
-        ("stg_pbp", "(SELECT * FROM plays WHERE play_type IS NOT NULL AND posteam IS NOT NULL)", "game_id error, play_type error"),
-        ("stg_rosters", "rosters", "player_id warn, team error"),
-        ("stg_sleeper_rosters", "league", "roster_id error, sleeper_id error"),
-        ("stg_pbp_player_stats", "pps", "game_id error"),
+        ("stg_pbp", "(SELECT * FROM plays WHERE play_type IS NOT NULL AND posteam IS NOT NULL)", [("game_id", "error"), ("play_type", "error")]),
+        ("stg_rosters", "rosters", [("player_id", "warn"), ("team", "error")]),
+        ("stg_sleeper_rosters", "league", [("roster_id", "error"), ("sleeper_id", "error")]),
+        ("stg_pbp_player_stats", "pps", [("game_id", "error")]),
         (
             "fct_team_week_epa",
             "(SELECT season, posteam AS team, week, count(*) AS plays FROM plays "
             "WHERE play_type IS NOT NULL AND posteam IS NOT NULL GROUP BY ALL)",
-            "team error, week error, plays error",
+            [("team", "error"), ("week", "error"), ("plays", "error")],
         ),
-        ("fct_player_week", "rosters", "player_id warn, week error, sleeper_id warn"),
-        ("fct_player_roster_status", "status", "player_id warn, week error"),
-        ("fct_player_game_stats", "stats", "player_id error, week error, fantasy_points error"),
+        ("fct_player_week", "rosters", [("player_id", "warn"), ("week", "error"), ("sleeper_id", "warn")]),
+        ("fct_player_roster_status", "status", [("player_id", "warn"), ("week", "error")]),
+        ("fct_player_game_stats", "stats", [("player_id", "error"), ("week", "error"), ("fantasy_points", "error")]),
     ]
     return _with(
         " UNION ALL ".join(
             f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{severity}' AS severity, "
             f"count(*) - count({column}) AS failures FROM {source}"
             for table, source, columns in checks
-            for column, severity in (c.split() for c in columns.split(", "))
+            for column, severity in columns
         )
     )
 
