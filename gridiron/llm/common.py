@@ -66,10 +66,11 @@ def hash128(value: Column, prefix: str) -> list[Column]:
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[str], name: str = "rank") -> DataFrame:
-    """Adds a gapless rank from 0 within `keys`.
+    """Adds a gapless rank from 0 within `keys`, which must not be null.
 
     A key may hold most rows: its rows are ranked within hash buckets, and only
-    the buckets' counts are summed up in order.
+    the buckets' counts are summed up in order.  Ranking and the join with the counts
+    share one shuffle of the rows.
     """
     buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = df.withColumn("_bucket", F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(buckets)))
@@ -81,7 +82,7 @@ def ranked(df: DataFrame, keys: list[str], order: list[str], name: str = "rank")
         .select(*(F.col(c).alias(f"_of_{c}") for c in keys), F.col("_bucket").alias("_of_bucket"), "_start")
     )
     within = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys] + [F.col("_bucket") == F.col("_of_bucket")]
+    same = [F.col(c) == F.col(f"_of_{c}") for c in keys] + [F.col("_bucket") == F.col("_of_bucket")]
     return (
         placed.withColumn("_at", F.row_number().over(within) - 1)
         .join(starts, same)
