@@ -32,7 +32,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Data
     )
     trimmed = F.btrim("line", F.lit(WHITE))
     keys = (
-        docs.select(F.col("doc_id").alias("id"), *hash128(text, "t"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+        docs.select(F.col("doc_id").alias("id"), *hash128(text, "t"), F.split(text, "\n").alias("lines"))
+        .select("id", "t1", "t2", F.posexplode("lines").alias("pos", "line"))  # a text is hashed once, not for each line
         .where(F.col("id").isNotNull() & (F.char_length(trimmed) >= min_chars))
         .select("id", "t1", "t2", "pos", *hash128(lower_ascii(trimmed), "h"))
     )
