@@ -39,7 +39,8 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     lines = F.split(text, "\n")
     quoted = F.filter(lines, lambda x: x.rlike(MARKS))
     own = F.filter(lines, lambda x: ~x.rlike(MARKS))
-    units = _units(messages.where("conv_id is not null and turn is not null").select(*key, F.posexplode(lines).alias("pos", "line")))
+    known = messages.where("conv_id is not null and turn is not null").select(*key, lines.alias("lines"))
+    units = _units(known.select(*MESSAGE, F.posexplode("lines").alias("pos", "line")))
     parents = _parents(units)
     threads = _threads(parents)
     base = messages.select(
