@@ -19,9 +19,6 @@ PLAYER_WEEK_COLUMNS = (
     "age",
 )
 
-#: Tasks over which rows without a league id are spread if the join shuffles.
-NULL_KEY_SPREAD = 512
-
 
 def player_week(rosters: DataFrame) -> DataFrame:
     return rosters.select(*PLAYER_WEEK_COLUMNS)
@@ -32,13 +29,14 @@ def player_roster_status(weeks: DataFrame, league: DataFrame) -> DataFrame:
 
     The league side is normally far below the session's broadcast threshold and
     Spark then broadcasts it by itself.  If it is not, both sides shuffle; rows
-    without a league id match nothing, so they are spread by a second key
-    instead of meeting in one task, and a hot id is left to the adaptive
-    skew-join split.
+    without a league id match nothing, so they are spread by a second key over
+    as many values as the shuffle has partitions instead of meeting in one task,
+    and a hot id is left to the adaptive skew-join split.
     """
+    partitions = int(weeks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.when(
         F.col("sleeper_id").isNull(),
-        F.pmod(F.hash("season", "week", "team", "player_name", "player_id"), F.lit(NULL_KEY_SPREAD)),
+        F.pmod(F.hash("season", "week", "team", "player_name", "player_id"), F.lit(partitions)),
     ).otherwise(F.lit(0))
     left = weeks.withColumn("spread", spread)
     right = league.select(

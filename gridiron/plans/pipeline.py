@@ -14,6 +14,7 @@ from gridiron import schemas
 from gridiron.functions.scoring import DEFAULT_SCORING
 from gridiron.operators import boxscore, players, staging, teams
 from gridiron.plans import checks
+from gridiron.plans import queries as q
 from gridiron.sources import league, seasons, tables
 
 
@@ -48,20 +49,24 @@ def _together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
             done.result()
 
 
-def _write_seasons(config: PipelineConfig, df: DataFrame, name: str) -> None:
+def _write_seasons(config: PipelineConfig, df: DataFrame, name: str, skipped: Sequence[int] = ()) -> None:
     if config.only_seasons:
-        tables.write_partitions(df, name, "season", config.seasons)
+        tables.write_partitions(df, name, "season", set(config.seasons or ()) - set(skipped))
     else:
         tables.write_table(df, name, "season")
 
 
-def land(spark: SparkSession, config: PipelineConfig) -> None:
-    """Replace the raw tables from the landed files."""
+def land(spark: SparkSession, config: PipelineConfig) -> dict[str, list[int]]:
+    """Replace the raw tables from the landed files; returns the seasons that could not be read, by table.
+
+    A refresh of given seasons keeps the old rows of one that could not be read.
+    """
     tables.ensure_databases(spark)
+    skipped: dict[str, list[int]] = {"pbp": [], "rosters": []}
 
     def land_seasons(root: str, schema, name: str) -> None:
-        frame = seasons.read_seasons(spark, root, schema, config.seasons)
-        _write_seasons(config, frame, f"{tables.RAW}.{name}")
+        frame = seasons.read_seasons(spark, root, schema, config.seasons, skipped[name])
+        _write_seasons(config, frame, f"{tables.RAW}.{name}", skipped[name])
 
     def land_league() -> None:
         flat = league.flatten_league(
@@ -79,6 +84,7 @@ def land(spark: SparkSession, config: PipelineConfig) -> None:
             land_league,
         ],
     )
+    return skipped
 
 
 def create_staging_views(spark: SparkSession, exclude_no_play: bool = False) -> None:
@@ -116,8 +122,16 @@ def build_marts(spark: SparkSession, config: PipelineConfig) -> None:
         status = players.player_roster_status(weeks, spark.table(f"{tables.STAGING}.stg_sleeper_rosters"))
         tables.write_table(tables.by_partition(status, "season"), f"{tables.MARTS}.fct_player_roster_status", "season")
 
+    def build_base() -> None:
+        # Owner and position are a player's, not a week's, so the base too is always built in full.
+        attributes, stats = f"{tables.MARTS}.player_attributes", f"{tables.MARTS}.fct_player_game_stats"
+        tables.write_table(q.first_attributes(spark.table(f"{tables.MARTS}.fct_player_roster_status")), attributes)
+        base = q.with_attributes(spark.table(stats), spark.table(attributes))
+        tables.write_table(tables.by_partition(base, "season"), f"{tables.MARTS}.player_week_base", "season")
+
     _together(spark, [build_game_stats, build_team_week, build_player_week])
     build_roster_status()
+    build_base()
 
 
 def check(spark: SparkSession) -> DataFrame:
@@ -127,12 +141,18 @@ def check(spark: SparkSession) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> DataFrame:
-    """Land, build, check; returns the report, raises if a check of severity error is broken."""
+    """Land, build, check; returns the report, raises if a check of severity error is broken.
+
+    A season that could not be read is a row of severity warn in the report.
+    """
     with tables.partitions_replaced_singly(spark) if config.only_seasons else nullcontext():
-        land(spark, config)
+        skipped = land(spark, config)
         create_staging_views(spark, config.exclude_no_play)
         build_marts(spark, config)
     rows = check(spark)
-    report = spark.createDataFrame(rows.collect(), rows.schema)  # a row per check
+    unread = [
+        (f"{tables.RAW}.{name}", f"season={season}", checks.WARN, 1) for name, of in skipped.items() for season in of
+    ]
+    report = spark.createDataFrame([tuple(r) for r in rows.collect()] + unread, rows.schema)  # a row per check and season
     checks.enforce(report)
     return report

@@ -78,14 +78,21 @@ def first_attributes(status: DataFrame) -> DataFrame:
 
 
 def player_week_base(stats: DataFrame, status: DataFrame) -> DataFrame:
+    """The base of all user queries, from box scores and roster status."""
+    return with_attributes(stats, first_attributes(status))
+
+
+def with_attributes(stats: DataFrame, attributes: DataFrame) -> DataFrame:
     """Box scores with owner, position and the team's targets of that week; kickers hidden.
 
+    ``attributes`` has one row per player, see :func:`first_attributes`.
+
     A null position is not a kicker and stays.  The team total is aggregated
     and joined back rather than computed over a window: a window would sort a
     hot team-week in one task, while an aggregate combines map-side and the
     join can be split.  Rows without a team get a null total.
     """
-    owned = stats.join(first_attributes(status), "player_id", "left").where(
+    owned = stats.join(attributes, "player_id", "left").where(
         ~F.col("position").eqNullSafe(F.lit(HIDDEN_POSITION))
     )
     team_targets = (

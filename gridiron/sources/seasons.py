@@ -62,9 +62,13 @@ def union_seasons(frames: Iterable[DataFrame], schema: T.StructType) -> DataFram
 
 
 def read_seasons(
-    spark: SparkSession, root: str, schema: T.StructType, seasons: Iterable[int] | None = None
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    seasons: Iterable[int] | None = None,
+    skipped: list[int] | None = None,
 ) -> DataFrame:
-    """All readable seasons below ``root``; a season that cannot be read is logged and skipped.
+    """All readable seasons below ``root``; one that cannot be read is logged, skipped and added to ``skipped``.
 
     The files of one season are taken to share their columns, so one footer per
     season is read; seasons may differ.  The season comes from the directory,
@@ -76,4 +80,6 @@ def read_seasons(
             frames.append(spark.read.option("basePath", root).parquet(f"{root}/season={season}"))
         except (PySparkException, Py4JJavaError) as error:  # no such path, or a damaged footer
             log.warning("skipping season %s of %s: %s", season, root, str(error).splitlines()[0])
+            if skipped is not None:
+                skipped.append(season)
     return union_seasons(frames, schema)

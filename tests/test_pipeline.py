@@ -57,6 +57,8 @@ def test_tables_and_views(spark, report):
         "fct_player_week": "MANAGED",
         "fct_player_roster_status": "MANAGED",
         "fct_player_game_stats": "MANAGED",
+        "player_attributes": "MANAGED",
+        "player_week_base": "MANAGED",
     }
 
 
@@ -70,12 +72,17 @@ def test_marts_equal_the_lazy_datasets(spark, sf_dir, report):
         "fct_player_week": weeks,
         "fct_player_roster_status": players.player_roster_status(weeks, staging.stg_league_rosters(flat)),
     }
+    expected["player_week_base"] = q.player_week_base(
+        expected["fct_player_game_stats"], expected["fct_player_roster_status"]
+    )
     for name, df in expected.items():
         assert same_rows(spark.table(f"marts.{name}"), df), name
 
 
 def test_report(spark, report):
     rows = {(r.table_name, r.column_name): (r.severity, r.failures) for r in report.collect()}
+    unread = {key: rows.pop(key) for key in list(rows) if key[0].startswith("raw.")}
+    assert len(unread) == 16 and unread["raw.pbp", "season=1990"] == (checks.WARN, 1)
     assert len(rows) == 18
     assert sum(severity == checks.ERROR for severity, _ in rows.values()) == 14
     broken = {key for key, (_, failures) in rows.items() if failures}
@@ -96,14 +103,24 @@ def test_broken_error_check_raises_and_warning_does_not(spark):
 
 
 def test_board_over_marts_prunes_the_season(spark, report):
-    base = q.player_week_base(spark.table("marts.fct_player_game_stats"), spark.table("marts.fct_player_roster_status"))
-    board = q.waiver_leaderboard(base, 2000, "WR", min_games=1)
+    board = q.waiver_leaderboard(spark.table("marts.player_week_base"), 2000, "WR", min_games=1)
     plan = board._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.splitlines() if "FileScan" in line and "fct_player_game_stats" in line]
-    assert len(scans) == 2 and all("(season" in s.split("PartitionFilters")[1].split("PushedFilters")[0] for s in scans)
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 1 and "(season" in scans[0].split("PartitionFilters")[1].split("PushedFilters")[0]
     assert board.count() > 0
 
 
+def test_damaged_season_is_reported_and_kept(spark, landed, report, tmp_path):
+    before = spark.table("raw.pbp").where("season = 2000").count()
+    spark.read.parquet(str(landed / "pbp" / "season=1999")).write.parquet(str(tmp_path / "pbp" / "season=1999"))
+    (tmp_path / "pbp" / "season=2000").mkdir()
+    (tmp_path / "pbp" / "season=2000" / "part-0.parquet").write_bytes(b"no Parquet file")
+    run = config(landed, plays_root=str(tmp_path / "pbp"), seasons=[1999, 2000], only_seasons=True)
+    rows = {(r.table_name, r.column_name): r.severity for r in pipeline.run_pipeline(spark, run).collect()}
+    assert {k: v for k, v in rows.items() if k[0].startswith("raw.")} == {("raw.pbp", "season=2000"): checks.WARN}
+    assert before and spark.table("raw.pbp").where("season = 2000").count() == before
+
+
 def test_refresh_of_one_season_leaves_the_others(spark, landed, report, tmp_path):
     before = {r.season: r["count"] for r in spark.table("marts.fct_player_game_stats").groupBy("season").count().collect()}
     changed = spark.read.parquet(str(landed / "pbp" / "season=2000")).where("week <= 2")
