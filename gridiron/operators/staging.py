@@ -27,6 +27,9 @@ class StagingModel:
         text = f"SELECT {', '.join(self.columns)} FROM {self.source}"
         return f"{text} WHERE {' AND '.join(self.where)}" if self.where else text
 
+    def condition(self) -> str:
+        return " AND ".join(self.where) or "true"
+
     def without_no_play(self) -> StagingModel:
         """The same model, also dropping plays of the type "no_play"."""
         return replace(self, where=(*self.where, "play_type <> 'no_play'"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -30,26 +30,33 @@ class CheckFailedError(AssertionError):
     """A check of severity error found rows that break it."""
 
 
-def check_table(table: str, df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """(table_name, column_name, severity, failures), all columns counted in one read."""
-    counted = df.agg(*[F.count_if(F.col(column).isNull()).alias(column) for column in columns])
+def check_source(df: DataFrame, parts: Mapping[str, str]) -> DataFrame:
+    """(table_name, column_name, severity, failures) of the tables whose rows are those of ``df`` under a condition.
+
+    All columns of all these tables are counted in one read.
+    """
+    checks = [(table, column, severity) for table in parts for column, severity in NOT_NULL[table].items()]
+    counted = df.agg(
+        *[
+            F.count_if(F.expr(parts[table]) & F.col(column).isNull()).alias(f"{table}_{column}")
+            for table, column, _ in checks
+        ]
+    )
     entries = [
         F.struct(
             F.lit(table).alias("table_name"),
             F.lit(column).alias("column_name"),
             F.lit(severity).alias("severity"),
-            F.col(column).alias("failures"),
+            F.col(f"{table}_{column}").alias("failures"),
         )
-        for column, severity in columns.items()
+        for table, column, severity in checks
     ]
     return counted.select(F.inline(F.array(*entries)))
 
 
-def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Report over the given tables; every table is read once."""
-    return reduce(
-        DataFrame.unionAll, [check_table(name, tables[name], NOT_NULL[name]) for name in NOT_NULL if name in tables]
-    )
+def quality_report(sources: Sequence[tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
+    """Report over sources, each with its tables and the condition that makes their rows; every source is read once."""
+    return reduce(DataFrame.unionAll, [check_source(df, parts) for df, parts in sources])
 
 
 def enforce(report: DataFrame) -> None:

@@ -337,6 +337,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT season, game_id, week, posteam AS possession_team, defteam AS defense_team, play_type, "
             "yards_gained, epa FROM plays WHERE play_type IS NOT NULL AND posteam IS NOT NULL"
         ),
+        "stg_pbp_without_no_play": _with(
+            "SELECT season, game_id, week, posteam AS possession_team, defteam AS defense_team, play_type, "
+            "yards_gained, epa FROM plays WHERE posteam IS NOT NULL AND play_type <> 'no_play'"
+        ),
         "stg_pbp_player_stats": _with("SELECT * FROM pps"),
         "stg_rosters": _with("SELECT * FROM rosters"),
         "stg_league_rosters": _with("SELECT * FROM league"),
@@ -368,6 +372,12 @@ def oracle_sql() -> dict[str, str]:
         "available_weeks": _with("SELECT DISTINCT week FROM mine ORDER BY week"),
         "week_bounds": _with("SELECT min(week) AS min_week, max(week) AS max_week FROM mine"),
         "my_roster_totals": _with("SELECT * FROM totals ORDER BY fantasy_points DESC, player_name, position"),
+        "my_roster_totals_all_tds": _with(
+            "SELECT t.*, a.all_tds FROM totals AS t JOIN (SELECT player_name, position, "
+            "CAST(sum(passing_tds + rushing_tds + receiving_tds) AS BIGINT) AS all_tds "
+            "FROM mine_weeks GROUP BY ALL) AS a USING (player_name, position) "
+            "ORDER BY fantasy_points DESC, player_name, position"
+        ),
         "player_trend": _with(
             "SELECT week, fantasy_points FROM mine_weeks WHERE player_name = (SELECT player_name FROM totals "
             "ORDER BY fantasy_points DESC, player_name, position LIMIT 1) ORDER BY week, fantasy_points"
