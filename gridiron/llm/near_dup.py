@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridiron.llm.common import quoted, written
+from gridiron.llm.common import others, written
 from gridiron.llm.graph import components
 
 SEGMENT = 1 << 20
@@ -315,6 +315,11 @@ def _confirmed(near: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents without those that are not the smallest doc_id of their component."""
-    gone = near_duplicates(docs, settings).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, quoted("doc_id") == F.col("_gone"), "left_anti")
+    """The documents without those that are not the smallest doc_id of their component.
+
+    A doc_id with several texts goes only if none of its rows is kept.
+    """
+    of_id = near_duplicates(docs, settings).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
+    gone = of_id.where("not kept").select("doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), others(docs).alias("doc"))
+    return rows.join(gone, "doc_id", "left_anti").select("doc.*")
