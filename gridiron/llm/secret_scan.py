@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridiron.llm.common import hash128, lower_ascii, written
+from gridiron.llm.common import hash128, lower_ascii, others, unpack, written
 
 #: A candidate: sixteen or more characters of keys, tokens, paths and long words.
 CANDIDATE = r"[A-Za-z0-9_+/=\-]{16,}"
@@ -176,14 +176,17 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
 
 def redact(docs: DataFrame, findings: DataFrame, mask: str = "[secret]") -> DataFrame:
     """The documents with the values of findings that are secrets replaced by `mask`."""
-    secret = findings.where("is_secret").groupBy("doc_id", "t1", "t2").agg(F.collect_set("nth").alias("_hits"))
-    text = F.coalesce("text", F.lit(""))
-    base = docs.select("*", *(h.alias(f"_{i}") for i, h in enumerate(hash128(text, "t"))))
-    secret = secret.select(F.col("doc_id").alias("_id"), F.col("t1").alias("_a"), F.col("t2").alias("_b"), "_hits")
-    joined = base.join(secret, (F.col("doc_id") == F.col("_id")) & (F.col("_0") == F.col("_a")) & (F.col("_1") == F.col("_b")), "left")
+    secret = findings.where("is_secret").groupBy("doc_id", "t1", "t2").agg(F.collect_set("nth").alias("hits"))
+    base = docs.select(
+        others(docs, "doc_id", "text").alias("rest"),
+        F.col("doc_id").alias("id"),
+        "text",
+        *hash128(F.coalesce("text", F.lit("")), "t"),
+    )
+    same = [base.id.cast("long") == secret.doc_id, base.t1 == secret.t1, base.t2 == secret.t2]
+    joined = base.join(secret, same, "left").select(base["*"], "hits")
     values = F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
-    masked = F.transform(values, lambda v, i: F.when(F.array_contains("_hits", i), F.lit(mask)).otherwise(v))
+    masked = F.transform(values, lambda v, i: F.when(F.array_contains("hits", i), F.lit(mask)).otherwise(v))
     pieces = F.zip_with(F.split("text", CANDIDATE), masked, lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))
-    return joined.select(
-        *(F.when(F.col("_hits").isNull(), F.col("text")).otherwise(F.array_join(pieces, "")).alias("text") if c == "text" else F.col(c) for c in docs.columns)
-    )
+    cleaned = F.when(F.col("hits").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
+    return unpack(joined, docs.columns, {"doc_id": F.col("id"), "text": cleaned})
