@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridiron.llm.common import written
+from gridiron.llm.common import hash128, written
 from gridiron.llm.graph import components
 
 
@@ -64,7 +64,7 @@ def fit_cells(vectors: DataFrame, dim: int, n: int, rounds: int = 4) -> np.ndarr
 
 
 def _placed(vectors: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
-    """id, v, cells: the nearest cells, the first one its home."""
+    """id, v, w, cells: the nearest cells, the first one its home."""
     dim, probes = centres.shape[1], min(probes, len(centres))
 
     def run(batches):
@@ -74,19 +74,19 @@ def _placed(vectors: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
                 near = _rows(part.column(1), dim) @ centres.T
                 top = np.argsort(-near, axis=1, kind="stable")[:, :probes]
                 cells = pa.array(list(top), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*part.columns, cells], ["id", "v", "cells"])
+                yield pa.RecordBatch.from_arrays([*part.columns, cells], ["id", "v", "w", "cells"])
 
-    return vectors.mapInArrow(run, "id long, v array<double>, cells array<long>")
+    return vectors.select("id", "v", "w").mapInArrow(run, "id long, v array<double>, w long, cells array<long>")
 
 
 def _blocks(placed: DataFrame, block: int) -> DataFrame:
-    """Rows dealt to the blocks of their cells: cell, h, p, home, id, v, cells.
+    """Rows dealt to the blocks of their cells: cell, h, p, home, id, v, w, cells.
 
     A cell's own vectors are cut into parts of about `block` rows by a hash of the id,
     and so are the vectors that look into it; a block is a pair of parts.  So a cell of
     any size is many tasks.
     """
-    looks = placed.select("id", "v", "cells", F.posexplode("cells").alias("at", "cell"))
+    looks = placed.select("id", "v", "w", "cells", F.posexplode("cells").alias("at", "cell"))
     counts = looks.groupBy("cell").agg(
         F.ceil(F.sum((F.col("at") == 0).cast("int")) / block).alias("hs"), F.ceil(F.count("*") / block).alias("ps")
     )
@@ -99,6 +99,7 @@ def _blocks(placed: DataFrame, block: int) -> DataFrame:
         F.lit(False).alias("home"),
         "id",
         "v",
+        "w",
         "cells",
     )
     home = dealt.where("at = 0").select(
@@ -108,18 +109,19 @@ def _blocks(placed: DataFrame, block: int) -> DataFrame:
         F.lit(True).alias("home"),
         "id",
         "v",
+        "w",
         "cells",
     )
     return look.unionByName(home)
 
 
 def _compare(blocks: DataFrame, dim: int, cosine: float) -> DataFrame:
-    """Per vector and block: n (its links found there) and least, the smallest id of its block's component."""
+    """Per vector and block: n (the weight of its links found there) and least, the smallest id of its block's component."""
 
     def run(key, table):
         table = table.combine_chunks()
         home = table.column("home").to_numpy(zero_copy_only=False).astype(bool)
-        ids = table.column("id").to_numpy()
+        ids, weight = table.column("id").to_numpy(), table.column("w").to_numpy()
         x = _rows(table.column("v").combine_chunks(), dim)
         cells = table.column("cells").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         cell = key[0].as_py()
@@ -134,7 +136,8 @@ def _compare(blocks: DataFrame, dim: int, cosine: float) -> DataFrame:
             # a pair seen from both sides counts once for each; one seen from here only counts for both
             mine = cells[i, 0]
             back = (cells[j] == mine[:, None]).any(axis=1)
-            count += np.bincount(i, minlength=len(ids)) + np.bincount(j[~back], minlength=len(ids))
+            np.add.at(count, i, weight[j])
+            np.add.at(count, j[~back], weight[i[~back]])
             left.append(i)
             right.append(j)
         i, j = (np.concatenate(x) if x else np.zeros(0, int) for x in (left, right))
@@ -163,9 +166,11 @@ def embedding_duplicates(
 ) -> DataFrame:
     """Links vectors of at least this cosine, in double precision.
 
-    All vectors are clustered into about sqrt(n) cells; each looks into its `probes`
-    nearest cells and is compared there with those at home, block by block.  Pairs are
-    only counted inside a block, and a block hands on one row per linked vector.
+    Equal vectors are one class, compared once with its number of members as weight, so
+    a group of copies costs no more than one vector.  The classes are clustered into about
+    sqrt(n) cells; each looks into its `probes` nearest cells and is compared there with
+    those at home, block by block.  Pairs are only counted inside a block, and a block
+    hands on one row per linked class.
 
     Returns a row per input row: the id, n_links, component_id, kept.  Vectors that are
     null, empty, zero or not finite, rows without an id and vectors of another length
@@ -179,11 +184,23 @@ def embedding_duplicates(
     if dims is None:
         return _result(rows, None, id_col)
     sound = sound.where(F.size("v") == dims.dim)
-    placed = written(_placed(sound, fit_cells(sound, dims.dim, dims.n), probes), "cells")
+    sound = sound.select("id", "v", *hash128(F.col("v"), "h"))
+    classes = sound.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("v").alias("v"), F.count("*").alias("w"))
+    classes = written(classes, "vector-classes")
+    n = classes.count()
+    placed = written(_placed(classes, fit_cells(classes, dims.dim, n), probes), "cells")
     found = written(_compare(_blocks(placed, block), dims.dim, cosine), "found")
-    counts = found.groupBy("id").agg(F.sum("n").alias("n_links"))
+    counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     labels = components(found.where("least <> id").select(F.col("id").alias("a"), F.col("least").alias("b")))
-    return _result(rows, counts.join(labels, counts.id == labels.node, "left").drop("node"), id_col)
+    linked = counts.join(labels, counts.id == labels.node, "left").select("id", "n", "label")
+    known = classes.join(linked, "id", "left").select(
+        "h1",
+        "h2",
+        (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n_links"),
+        F.coalesce("label", "id").alias("label"),
+    )
+    known = written(known, "class-links")
+    return _result(rows, sound.select("id", "h1", "h2").join(known, ["h1", "h2"]).drop("h1", "h2"), id_col)
 
 
 def _result(rows: DataFrame, found: DataFrame | None, id_col: str) -> DataFrame:

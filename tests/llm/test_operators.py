@@ -284,6 +284,14 @@ def test_near_duplicates_edges(spark):
     assert near_dup.near_duplicates(documents(spark)).count() == 0
 
 
+def test_dropping_near_duplicates_keeps_other_columns_and_other_texts_of_an_id(spark):
+    text = "one two three four five six"
+    docs = spark.createDataFrame([(1, text, 1), (2, text, 2), (2, "an own text", 3), (3, text, 4)], "doc_id long, text string, doc int")
+    docs = docs.withColumns({"_gone": docs.doc + 10, "kept": docs.doc + 20, "a.b": docs.doc})
+    out = near_dup.drop_near_duplicates(docs)
+    assert out.columns == docs.columns and sorted(r.kept for r in out.collect()) == [21, 22, 23]
+
+
 def test_long_texts_are_hashed_in_segments(monkeypatch):
     whole = list(near_dup.Shingles(5).of([LONG, "a b c d e f"]))
     monkeypatch.setattr(near_dup, "SEGMENT", 1000)
@@ -374,6 +382,21 @@ def test_embeddings_equal_brute_force(spark):
     assert len(out) == frame.count() and embed_dedup.embedding_duplicates(frame.limit(0)).count() == 0
 
 
+def test_copies_of_vectors_are_compared_once(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    near = np.array([1.0, 0.0, 0.0, 0.0]), np.array([1.0, 0.1, 0.0, 0.0])
+    rows = [(i, near[i % 2].tolist()) for i in range(10, 310)] + [(i, rng.normal(size=4).tolist()) for i in range(400, 405)]
+    rows += [(500, [1.0, 0.0]), (501, [1.0, 0.0])]
+    compared = []
+    compare = embed_dedup._compare
+    monkeypatch.setattr(embed_dedup, "_compare", lambda b, *a: compared.append(b.count()) or compare(b, *a))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = {r.vec_id: r for r in embed_dedup.embedding_duplicates(frame).collect()}
+    assert all((out[i].n_links, out[i].component_id, out[i].kept) == (299, 10, i == 10) for i in range(10, 310))
+    assert out[500].n_links == out[501].n_links == 0  # another length links with nothing
+    assert compared[0] <= 7 * 5  # two classes and five vectors, looks and homes
+
+
 # --------------------------------------------------------------------- secrets
 
 
@@ -391,6 +414,9 @@ def test_secrets(spark):
     assert all(judged[k] for k in keys) and not any(s for v, s in judged.items() if v not in keys)
     clean = {r.doc_id: r.text for r in secret_scan.redact(docs, found).collect()}
     assert clean[5] == 'plain words here\ntoken = "[secret]" more words' and clean[502] == LONG and clean[500] is None
+    named = docs.where("doc_id = 5").selectExpr("*", "1 AS hits", "2 AS _hits", "3 AS rest")
+    (row,) = secret_scan.redact(named, found).collect()
+    assert row.text == clean[5] and (row.hits, row._hits, row.rest) == (1, 2, 3)
     assert secret_scan.scan(documents(spark)).count() == 0
     alone = secret_scan.scan(documents(spark, (1, f"a {keys[0]} b"))).collect()
     assert [(r.probability, r.is_secret) for r in alone] == [(None, False)]
