@@ -56,7 +56,7 @@ def fit_cells(vectors: DataFrame, dim: int, n: int, rounds: int = 4) -> np.ndarr
 
         parts = vectors.select("v").mapInArrow(sums, "cell long, total array<double>")
         added = parts.select("cell", F.posexplode("total").alias("at", "x")).groupBy("cell", "at").agg(F.sum("x").alias("x"))
-        for r in added.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("s")).toLocalIterator():
+        for r in added.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("s")).collect():  # a row per cell, in one job
             total = np.array([p.x for p in r.s])
             if np.linalg.norm(total) > 0:
                 centres[r.cell] = total / np.linalg.norm(total)
