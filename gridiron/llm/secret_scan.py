@@ -13,8 +13,18 @@ from pyspark.sql import functions as F
 
 from gridiron.llm.common import hash128, lower_ascii, others, unpack, written
 
-#: A candidate: sixteen or more characters of keys, tokens, paths and long words.
-CANDIDATE = r"[A-Za-z0-9_+/=\-]{16,}"
+#: A name of secrets, with what follows it up to its value; bounded, since it is looked for behind values.
+NAME = r"(?:token|key|secret|passw(?:or)?d|passwd|passphrase|pwd|credentials?|auth)"
+ASSIGN = r"(?i:" + NAME + r"[a-z0-9_\-]{0,16}[\"']?[ \t]{0,4}(?:[=:]|=>|:=)[ \t]{0,4})"
+BEARER = r"(?i:\bbearer[ \t]{1,4})"
+#: A candidate: a value of any length and punctuation after a name of secrets (in quotes up to the closing one) or after
+#: `Bearer`, a whole JWT, or sixteen or more characters of keys, tokens, paths and long words, which `=` only ends.
+CANDIDATE = (
+    r"(?<=[\"'])(?<=" + ASSIGN + r"[\"'])[^\"'\r\n]+(?=[\"'])"
+    r"|(?<=[=:> \t\"'])(?:(?<=" + ASSIGN + r"[\"']?)|(?<=" + BEARER + r"))(?![ \t=:>]|(?i:bearer[ \t]))[^\s\"'<>,;]*[^\s\"'<>,;.)\]}]"
+    r"|\beyJ[A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]+)+"
+    r"|(?![A-Za-z0-9_+/\-]{0,64}?" + ASSIGN + r"[^\s])[A-Za-z0-9_+/\-]{16,}(?:={1,2}(?![A-Za-z0-9_+/\-]))?"
+)
 LETTERS, DIGITS = string.ascii_lowercase, string.digits
 NEAR = 48
 NUMBERS = ["length", "changes", "digits", "uppers", "symbols", "distinct", "hex", "coverage", "likelihood", "in_path", "assigned", "quoted"]
@@ -78,7 +88,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     )
     covered = parts.join(words.select("word"), "word").groupBy("value").agg(F.sum(F.length("word")).alias("known"))
     runs = distinct.select(
-        "value", "lowered", F.explode(F.sequence(F.lit(1), F.length("lowered") - 1)).alias("i")
+        "value", "lowered", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("lowered") - 1))).alias("i")
     ).select("value", F.substr("lowered", F.col("i"), F.lit(2)).alias("pair"))
     likely = (
         runs.join(F.broadcast(transitions(words)), "pair", "left")  # at most 676 rows
@@ -131,15 +141,24 @@ def train(labelled: DataFrame, most: int = 20_000, trees: int = 20, seed: int =
     return Pipeline(stages=stages).fit(sample)
 
 
-def by_rule(found: DataFrame) -> DataFrame:
-    """Weak labels where no findings are labelled by hand.
+def by_rule(found: DataFrame, keep_all: bool = False) -> DataFrame:
+    """Weak labels where no findings are labelled by hand; no label looks at quotes.
 
-    1: assigned in quotes to a name such as token, key or secret.  0: the value is in no
-    quotes.  Others stay out.
+    1: eight characters or more with a digit, assigned to a name such as token, key or
+    secret or after `Bearer`, or a JWT; no URL.  0: none of these names stands before the
+    value, and it has the shape of a URL or path, or no letters, or at least 0.8 of it are
+    words of the dictionary.  Others stay out, or have a null label if all are kept.
     """
-    named = F.lower("before").rlike(r"(token|key|secret|passw\w*|credential|auth)\s*[=:]\s*[\"']$")
-    label = F.when(named & (F.col("digits") > 0), 1).when(F.col("quoted") == 0, 0)
-    return found.withColumn("label", label).where("label is not null")
+    value = F.col("value")
+    named = F.col("before").rlike(f"(?:{ASSIGN}[\"']?|{BEARER})$")
+    token = value.rlike(r"^eyJ[A-Za-z0-9_\-]+\.")
+    url = value.contains("://")
+    path = url | (F.col("in_path") > 0) & value.rlike(r"^[/.]|[A-Za-z]{3,}/[A-Za-z]{2,}|/[a-z]{3,}")
+    plain = path | ~value.rlike("[A-Za-z]") | (F.col("coverage") >= 0.8)
+    secret = (token | named & (F.length(value) >= 8) & (F.col("digits") > 0)) & ~url
+    label = F.when(secret, 1).when(~named & ~token & plain, 0)
+    labelled = found.withColumn("label", label)
+    return labelled if keep_all else labelled.where("label is not null")
 
 
 def classify(found: DataFrame, model: PipelineModel, threshold: float = 0.5) -> DataFrame:
@@ -159,7 +178,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     Returns doc_id, nth (from 0 within the text), value, probability, is_secret, one row per
     candidate of each input row.  Null and empty texts have none; repeated rows give
     repeated findings; rows without doc_id are scanned but not learned from; without
-    findings of both labels nothing is judged: probability is null, is_secret false.
+    findings of both labels the rule's own label is the probability, and what it leaves
+    unlabelled has probability null and is_secret false.
     """
     words = written(dictionary(docs), "dictionary")
     found = written(features(candidates(docs), words), "candidates")
@@ -168,7 +188,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     else:
         known = found.join(labelled.select("doc_id", "nth", "label"), ["doc_id", "nth"])
     if known.where("label = 0").isEmpty() or known.where("label = 1").isEmpty():
-        judged = found.select("*", F.lit(None).cast("double").alias("probability"), F.lit(False).alias("is_secret"))
+        ruled = by_rule(found, keep_all=True).withColumn("probability", F.col("label").cast("double"))
+        judged = ruled.withColumn("is_secret", F.coalesce(F.col("probability") >= threshold, F.lit(False)))
     else:
         judged = classify(found, train(known), threshold)
     return judged.select("doc_id", "t1", "t2", "nth", "value", "probability", "is_secret")

@@ -420,3 +420,27 @@ def test_secrets(spark):
     assert secret_scan.scan(documents(spark)).count() == 0
     alone = secret_scan.scan(documents(spark, (1, f"a {keys[0]} b"))).collect()
     assert [(r.probability, r.is_secret) for r in alone] == [(None, False)]
+
+
+def test_unquoted_short_and_punctuated_secrets(spark):
+    rng = random.Random(4)
+    key = lambda n=40: "".join(rng.choice("0123456789abcdefghijklmnopqrstuvwxyzABCDEF") for _ in range(n))
+    forms = ['token = "{}" more', "export AWS_SECRET_ACCESS_KEY={}", "api_key: sk_live_{} more", "Authorization: Bearer {}"]
+    values = [(i, i % 4, key() + "7") for i in range(120)]
+    rows = [(i, "plain words here\n" + forms[k].format(v)) for i, k, v in values]
+    rows += [(200 + i, f"see http://example.org/path/to/{'word' * 5}{i} or number {rng.randrange(10**15, 10**16)}") for i in range(60)]
+    jwt = f"eyJ{key(20)}.eyJ{key(30)}.{key(43)}"
+    rows += [(300, f"cookie {jwt} end"), (301, "password: hunter2!x%"), (302, 'db_password = "p4ss, w0rd!"')]
+    docs = documents(spark, *rows)
+    found = secret_scan.scan(docs)
+    judged = {(r.doc_id, r.value): r.is_secret for r in found.collect()}
+    assert all(judged[i, ("sk_live_" if k == 2 else "") + v] for i, k, v in values)
+    assert judged[300, jwt] and judged[301, "hunter2!x%"] and judged[302, "p4ss, w0rd!"]
+    assert not any(s for (i, _), s in judged.items() if 200 <= i < 300)
+    clean = {r.doc_id: r.text for r in secret_scan.redact(docs, found).collect()}
+    assert clean[1] == "plain words here\nexport AWS_SECRET_ACCESS_KEY=[secret]" and clean[301] == "password: [secret]"
+
+
+def test_the_rule_decides_where_one_label_is_missing(spark):
+    out = secret_scan.scan(documents(spark, (1, "api_key: a1b2c3d4e5f6a7b8c9d0"), (2, "key: x"))).collect()
+    assert {(r.value, r.probability, r.is_secret) for r in out} == {("a1b2c3d4e5f6a7b8c9d0", 1.0, True), ("x", None, False)}
