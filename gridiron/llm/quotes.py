@@ -68,7 +68,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 
 
 def _units(lines: DataFrame) -> DataFrame:
-    """Passages and single lines of two words or more: the message, level, h1, h2 and size (characters)."""
+    """Passages and single lines that are not empty: the message, level, h1, h2 and size (characters)."""
     marks = F.regexp_extract("line", MARKS, 1)
     leveled = lines.select(
         *MESSAGE,
@@ -88,7 +88,7 @@ def _units(lines: DataFrame) -> DataFrame:
         *MESSAGE,
         "level",
         F.explode(F.array_distinct(F.concat(F.array(F.array_join("said", " ")), F.col("said")))).alias("said"),
-    ).where(F.col("said").contains(" "))
+    )
     return each.select(*MESSAGE, "level", *hash128(F.col("said"), "h"), F.length("said").alias("size"))
 
 

@@ -353,6 +353,13 @@ def test_quotes(spark):
     assert quotes.link_quotes(messages.limit(0)).count() == 0
 
 
+def test_quotes_without_blanks_find_their_source(spark):
+    said = ["今天天气很好。", "https://example.org/a?b=1", "Yes."]
+    rows = [(1, i, "u", s) for i, s in enumerate(said)] + [(1, 10 + i, "u", f"> {s}\nAnswer number {i}") for i, s in enumerate(said)]
+    out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {r.turn: (r.n_found, r.parent_turn, r.root_turn) for r in out if r.turn >= 10} == {10 + i: (1, i, i) for i in range(3)}
+
+
 def test_long_reply_chains(spark):
     rows = [(1, 0, "u", "message number 0")] + [(1, i, "u", f"> message number {i - 1}\nmessage number {i}") for i in range(1, 40)]
     out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
