@@ -40,6 +40,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     quoted = F.filter(lines, lambda x: x.rlike(MARKS))
     own = F.filter(lines, lambda x: ~x.rlike(MARKS))
     known = messages.where("conv_id is not null and turn is not null").select(*key, lines.alias("lines"))
+    known = known.dropDuplicates(MESSAGE)  # dealt as the windows over messages need it
     units = _units(known.select(*MESSAGE, F.posexplode("lines").alias("pos", "line")))
     parents = _parents(units)
     threads = _threads(parents)

@@ -360,6 +360,12 @@ def test_quotes_without_blanks_find_their_source(spark):
     assert {r.turn: (r.n_found, r.parent_turn, r.root_turn) for r in out if r.turn >= 10} == {10 + i: (1, i, i) for i in range(3)}
 
 
+def test_a_repeated_message_is_one_message(spark):
+    rows = [(1, 0, "u", "the first line\nand the second")] * 2 + [(1, 1, "u", "> the first line and the second\nYes.")]
+    out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r.turn, r.n_found, r.parent_turn) for r in out if r.turn) == [(1, 1, 0)] and len(out) == 3
+
+
 def test_long_reply_chains(spark):
     rows = [(1, 0, "u", "message number 0")] + [(1, i, "u", f"> message number {i - 1}\nmessage number {i}") for i in range(1, 40)]
     out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
