@@ -63,30 +63,40 @@ def fit_cells(vectors: DataFrame, dim: int, n: int, rounds: int = 4) -> np.ndarr
     return centres
 
 
-def _placed(vectors: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
-    """id, v, w, cells: the nearest cells, the first one its home."""
-    dim, probes = centres.shape[1], min(probes, len(centres))
+def _placed(vectors: DataFrame, centres: np.ndarray, cosine: float) -> DataFrame:
+    """id, v, w, cells: the nearest cell, its home, and later cells that may hold a partner.
+
+    A vector at home in cell j lies on its side of the plane between the two centres, so
+    one within the distance of the cosine is at most that far from the plane.  That holds
+    from both sides; only the vector of the earlier cell looks.
+    """
+    reach = math.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
+    square = (centres**2).sum(axis=1)
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                near = _rows(part.column(1), dim) @ centres.T
-                top = np.argsort(-near, axis=1, kind="stable")[:, :probes]
-                cells = pa.array(list(top), pa.list_(pa.int64()))
+                near = _rows(part.column(1), centres.shape[1]) @ centres.T
+                home = near.argmax(axis=1)
+                apart = square[home][:, None] + square - 2 * (centres[home] @ centres.T)
+                beyond = near[np.arange(len(home)), home][:, None] - near
+                look = beyond <= reach * np.sqrt(np.maximum(0, apart)) + 1e-9
+                look &= np.arange(len(centres)) > home[:, None]
+                cells = pa.array([[h, *np.flatnonzero(m)] for h, m in zip(home, look)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([*part.columns, cells], ["id", "v", "w", "cells"])
 
     return vectors.select("id", "v", "w").mapInArrow(run, "id long, v array<double>, w long, cells array<long>")
 
 
 def _blocks(placed: DataFrame, block: int) -> DataFrame:
-    """Rows dealt to the blocks of their cells: cell, h, p, home, id, v, w, cells.
+    """Rows dealt to the blocks of their cells: cell, h, p, home, own, id, v, w.
 
     A cell's own vectors are cut into parts of about `block` rows by a hash of the id,
     and so are the vectors that look into it; a block is a pair of parts.  So a cell of
     any size is many tasks.
     """
-    looks = placed.select("id", "v", "w", "cells", F.posexplode("cells").alias("at", "cell"))
+    looks = placed.select("id", "v", "w", F.posexplode("cells").alias("at", "cell"))
     counts = looks.groupBy("cell").agg(
         F.ceil(F.sum((F.col("at") == 0).cast("int")) / block).alias("hs"), F.ceil(F.count("*") / block).alias("ps")
     )
@@ -97,20 +107,20 @@ def _blocks(placed: DataFrame, block: int) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("h"),
         F.pmod(salt, "ps").alias("p"),
         F.lit(False).alias("home"),
+        (F.col("at") == 0).alias("own"),
         "id",
         "v",
         "w",
-        "cells",
     )
     home = dealt.where("at = 0").select(
         "cell",
         F.pmod(salt, "hs").alias("h"),
         F.explode(F.sequence(F.lit(0), F.col("ps") - 1)).alias("p"),
         F.lit(True).alias("home"),
+        F.lit(True).alias("own"),
         "id",
         "v",
         "w",
-        "cells",
     )
     return look.unionByName(home)
 
@@ -123,8 +133,7 @@ def _compare(blocks: DataFrame, dim: int, cosine: float) -> DataFrame:
         home = table.column("home").to_numpy(zero_copy_only=False).astype(bool)
         ids, weight = table.column("id").to_numpy(), table.column("w").to_numpy()
         x = _rows(table.column("v").combine_chunks(), dim)
-        cells = table.column("cells").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-        cell = key[0].as_py()
+        own = table.column("own").to_numpy(zero_copy_only=False).astype(bool)
         hi, pi = np.flatnonzero(home), np.flatnonzero(~home)
         count, left, right = np.zeros(len(ids), np.int64), [], []
         for at in range(0, len(pi), 512):
@@ -133,9 +142,8 @@ def _compare(blocks: DataFrame, dim: int, cosine: float) -> DataFrame:
             i, j = rows[i], hi[j]
             other = ids[i] != ids[j]
             i, j = i[other], j[other]
-            # a pair seen from both sides counts once for each; one seen from here only counts for both
-            mine = cells[i, 0]
-            back = (cells[j] == mine[:, None]).any(axis=1)
+            # a pair of one cell is seen from both sides and counts once for each; one of two cells counts here for both
+            back = own[i]
             np.add.at(count, i, weight[j])
             np.add.at(count, j[~back], weight[i[~back]])
             left.append(i)
@@ -159,7 +167,6 @@ def _compare(blocks: DataFrame, dim: int, cosine: float) -> DataFrame:
 def embedding_duplicates(
     vectors: DataFrame,
     cosine: float = 0.95,
-    probes: int = 4,
     block: int = 2048,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
@@ -168,8 +175,8 @@ def embedding_duplicates(
 
     Equal vectors are one class, compared once with its number of members as weight, so
     a group of copies costs no more than one vector.  The classes are clustered into about
-    sqrt(n) cells; each looks into its `probes` nearest cells and is compared there with
-    those at home, block by block.  Pairs are only counted inside a block, and a block
+    sqrt(n) cells; each is compared with those at home in its own cell and in every later
+    one that may hold a partner, block by block, so no link is lost.  Pairs are only counted inside a block, and a block
     hands on one row per linked class.
 
     Returns a row per input row: the id, n_links, component_id, kept.  Vectors that are
@@ -188,7 +195,7 @@ def embedding_duplicates(
     classes = sound.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("v").alias("v"), F.count("*").alias("w"))
     classes = written(classes, "vector-classes")
     n = classes.count()
-    placed = written(_placed(classes, fit_cells(classes, dims.dim, n), probes), "cells")
+    placed = written(_placed(classes, fit_cells(classes, dims.dim, n), cosine), "cells")
     found = written(_compare(_blocks(placed, block), dims.dim, cosine), "found")
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     labels = components(found.where("least <> id").select(F.col("id").alias("a"), F.col("least").alias("b")))

@@ -1,6 +1,7 @@
 """The operators on hand-written rows: nulls, empty and long texts, ties, repeated rows, empty tables, other columns."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -395,6 +396,22 @@ def test_embeddings_equal_brute_force(spark):
     assert len(out) == frame.count() and embed_dedup.embedding_duplicates(frame.limit(0)).count() == 0
 
 
+def test_all_links_of_unclustered_vectors_are_found(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    step = rng.normal(size=x.shape)
+    step -= (step * x).sum(axis=1, keepdims=True) * x
+    step /= np.linalg.norm(step, axis=1, keepdims=True)
+    x = np.concatenate([x, 0.955 * x + math.sqrt(1 - 0.955**2) * step])
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.embedding_duplicates(frame).collect()}
+    expected = components(range(len(x)), zip(*map(list, np.nonzero(near))))
+    assert out == {i: (near[i].sum(), expected[i]) for i in range(len(x))}
+
+
 def test_copies_of_vectors_are_compared_once(spark, monkeypatch):
     rng = np.random.default_rng(3)
     near = np.array([1.0, 0.0, 0.0, 0.0]), np.array([1.0, 0.1, 0.0, 0.0])
