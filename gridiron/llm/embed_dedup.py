@@ -170,6 +170,7 @@ def embedding_duplicates(
     block: int = 2048,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
+    every_length: bool = False,
 ) -> DataFrame:
     """Links vectors of at least this cosine, in double precision.
 
@@ -180,23 +181,32 @@ def embedding_duplicates(
     hands on one row per linked class.
 
     Returns a row per input row: the id, n_links, component_id, kept.  Vectors that are
-    null, empty, zero or not finite, rows without an id and vectors of another length
-    than the most frequent one link with nothing and are kept; rows of one id are one
+    null, empty, zero or not finite and rows without an id link with nothing and are
+    kept; so are vectors of another length than the most frequent one, unless
+    `every_length` has each length compared within itself.  Rows of one id are one
     vector, the first in order of its components.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"))
     sound = usable(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v"))
     sound = written(sound, "vectors")
-    dims = sound.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
-    if dims is None:
+    lengths = sound.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim")
+    dims = [r.dim for r in (lengths if every_length else lengths.limit(1)).collect()]  # a row per length
+    if not dims:
         return _result(rows, None, id_col)
-    sound = sound.where(F.size("v") == dims.dim)
+    if not every_length:
+        sound = sound.where(F.size("v") == dims[0])
     sound = sound.select("id", "v", *hash128(F.col("v"), "h"))
     classes = sound.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("v").alias("v"), F.count("*").alias("w"))
     classes = written(classes, "vector-classes")
-    n = classes.count()
-    placed = written(_placed(classes, fit_cells(classes, dims.dim, n), cosine), "cells")
-    found = written(_compare(_blocks(placed, block), dims.dim, cosine), "found")
+    sizes = {r.dim: r["count"] for r in classes.groupBy(F.size("v").alias("dim")).count().collect()}
+    found = None
+    for dim in dims:
+        if found is not None and sizes[dim] < 2:
+            continue  # one class has no other to be compared with
+        own = classes.where(F.size("v") == dim)
+        placed = written(_placed(own, fit_cells(own, dim, sizes[dim]), cosine), "cells")
+        part = written(_compare(_blocks(placed, block), dim, cosine), "found")
+        found = part if found is None else found.unionByName(part)
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     labels = components(found.where("least <> id").select(F.col("id").alias("a"), F.col("least").alias("b")))
     linked = counts.join(labels, counts.id == labels.node, "left").select("id", "n", "label")

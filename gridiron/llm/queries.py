@@ -85,7 +85,7 @@ def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embed_dedup.embedding_duplicates(table(spark, sf_dir, "embeddings"))
+    return embed_dedup.embedding_duplicates(table(spark, sf_dir, "embeddings"), every_length=True)
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

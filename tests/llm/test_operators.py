@@ -412,6 +412,13 @@ def test_all_links_of_unclustered_vectors_are_found(spark):
     assert out == {i: (near[i].sum(), expected[i]) for i in range(len(x))}
 
 
+def test_each_length_is_compared_within_itself(spark, tmp_path):
+    rows = [(i, [1.0, 0.01 * i, 0.0]) for i in range(4)] + [(10, [1.0, 0.0]), (11, [1.0, 0.0]), (12, [1.0, 0.1]), (20, [1.0]), (21, [1.0])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    out = {r.vec_id: (r.n_links, r.component_id) for r in queries.op9_embedding_dedup(spark, str(tmp_path)).collect()}
+    assert out == {i: (3, 0) for i in range(4)} | {i: (2, 10) for i in (10, 11, 12)} | {20: (1, 20), 21: (1, 20)}
+
+
 def test_copies_of_vectors_are_compared_once(spark, monkeypatch):
     rng = np.random.default_rng(3)
     near = np.array([1.0, 0.0, 0.0, 0.0]), np.array([1.0, 0.1, 0.0, 0.0])
