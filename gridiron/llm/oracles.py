@@ -51,5 +51,50 @@ FROM doc d LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc_id)
 """
 
 
+TRIE = r"""
+WITH told AS (
+  SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(k ORDER BY turn NULLS FIRST, k) AS ks, list(words ORDER BY turn NULLS FIRST, k) AS ws,
+         conv_id - conv_id % 20 AS base,
+         xor(list_reduce(  -- crc32 of the decimal id, bit by bit
+           list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda crc, b: list_reduce(
+             list_prepend(xor(crc, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+             lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 4 AS h
+  FROM told GROUP BY conv_id),
+rebuilt AS (
+  SELECT c.conv_id,
+         list_concat(list_slice(coalesce(b.ks, []), 1, c.h), list_slice(c.ks, c.h + 1, len(c.ks))) AS ks,
+         list_concat(list_slice(coalesce(b.ws, []), 1, c.h), list_slice(c.ws, c.h + 1, len(c.ws))) AS ws
+  FROM own c LEFT JOIN own b ON b.conv_id = c.base),
+place AS (SELECT *, unnest(range(0, len(ks) + 1)) AS depth FROM rebuilt),
+member AS (
+  SELECT conv_id, depth, array_to_string(list_slice(ks, 1, depth), ',') AS path,
+         array_to_string(list_slice(ks, 1, depth - 1), ',') AS up, ws[depth] AS words, depth = len(ks) AS ends FROM place),
+node AS (
+  SELECT depth, path, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM member GROUP BY depth, path),
+kids AS (SELECT depth - 1 AS depth, up AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+valued AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children,
+         CASE WHEN n.depth > 0 THEN (n_convs - 1) * words ELSE 0 END AS saved
+  FROM node n LEFT JOIN kids k USING (depth, path)),
+below AS (
+  SELECT p.depth, p.path, sum(v.saved) AS saved_tokens, count(*) FILTER (v.n_children = 0) AS n_leaves
+  FROM valued v JOIN rebuilt r USING (conv_id)
+  JOIN LATERAL (SELECT unnest(range(0, v.depth + 1)) AS depth) a ON true
+  JOIN valued p ON p.depth = a.depth AND p.path = array_to_string(list_slice(r.ks, 1, a.depth), ',')
+  GROUP BY p.depth, p.path)
+SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, b.n_leaves,
+       CAST(b.saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM valued v JOIN below b USING (depth, path)
+LEFT JOIN valued u ON v.depth > 0 AND u.depth = v.depth - 1 AND u.path = v.up
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINES, "op4_decontaminate": WINDOWS}
+    return {"op1_line_dedup": LINES, "op4_decontaminate": WINDOWS, "op11_conversation_trie": TRIE}

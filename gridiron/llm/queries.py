@@ -15,11 +15,13 @@ from gridiron.llm import (
     line_dedup,
     near_dup,
     packing,
+    prefix_trie,
     quotes,
     secret_scan,
     sharding,
     warc,
 )
+from gridiron.llm.common import written
 
 FOUR_WORDS = near_dup.Settings(words=4)
 
@@ -93,9 +95,38 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "nth", F.sha2("value", 256).alias("value_sha256"), "probability", "is_secret")
 
 
+def with_shared_heads(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every conversation c rebuilt: the first h turns of conversation c - c % 20, then its own after the first h.
+
+    h is crc32 of the decimal c, modulo 4.  Takes and returns turns as `prefix_trie.positioned`
+    has them, and the conversations left without turns.
+    """
+    lens = turns.groupBy("conv").agg(F.count("*").alias("len"))
+    own = lens.select(
+        "conv",
+        "len",
+        (F.crc32(F.col("conv").cast("string").cast("binary")) % 4).alias("h"),
+        (F.col("conv") - F.col("conv") % 20).alias("base"),
+    )
+    bases = lens.select(F.col("conv").alias("of"), F.col("len").alias("base_len"))
+    plan = own.join(bases, F.col("base") == F.col("of"), "left")
+    plan = written(plan.withColumn("head", F.least("h", F.coalesce("base_len", F.lit(0)))), "rebuilt")
+    moved = turns.join(plan.select(F.col("conv").alias("c"), "h", "head"), F.col("conv") == F.col("c"))
+    after = moved.where("pos >= h").select("conv", (F.col("pos") - F.col("h") + F.col("head")).alias("pos"), "t1", "t2", "words")
+    heads = turns.where("pos < 3 and conv % 20 = 0").select(F.col("conv").alias("from"), "pos", "t1", "t2", "words")
+    before = plan.join(heads, F.col("base") == F.col("from")).where("pos < head").select(*after.columns)
+    return written(after.unionByName(before), "rebuilt-turns"), plan.where("head = 0 and len <= h").select("conv")
+
+
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = written(prefix_trie.positioned(table(spark, sf_dir, "conversations")), "positions")
+    return prefix_trie.trie(*with_shared_heads(turns))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     each = [
         op1_line_dedup, op2_packing, op3_warc, op4_decontaminate, op5_language_id, op6_near_duplicates, op7_sharding,
         op8_quotes, op9_embedding_dedup, op10_secrets,
+        op11_conversation_trie,
     ]
     return {f.__name__: f for f in each}
