@@ -96,5 +96,41 @@ LEFT JOIN valued u ON v.depth > 0 AND u.depth = v.depth - 1 AND u.path = v.up
 """
 
 
+EXACT = r"""
+WITH said AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS said FROM documents),
+grouped AS (SELECT said, min(doc_id) AS keep_id, count(*) AS group_size FROM said GROUP BY said)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(said) AS text_sha256 FROM said JOIN grouped USING (said)
+"""
+
+NEGATIVES = r"""
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS id, a.label = o.label AS same,
+         CAST(list_dot_product(a.v, o.v) AS BIGINT) AS score
+  FROM usable a JOIN usable o ON a.vec_id <> o.vec_id AND len(a.v) = len(o.v) WHERE a.vec_id % 100 = 0),
+positive AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+negative AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank
+  FROM positive p JOIN scored n
+    ON p.anchor_id = n.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negative WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINES, "op4_decontaminate": WINDOWS, "op11_conversation_trie": TRIE}
+    return {
+        "op1_line_dedup": LINES,
+        "op4_decontaminate": WINDOWS,
+        "op11_conversation_trie": TRIE,
+        "op12_exact_dedup": EXACT,
+        "op13_hard_negatives": NEGATIVES,
+    }

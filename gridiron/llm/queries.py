@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from gridiron.llm import (
     decontaminate,
     embed_dedup,
+    exact_dedup,
+    hard_negatives,
     lang_id,
     line_dedup,
     near_dup,
@@ -123,10 +125,21 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(*with_shared_heads(turns))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.usable(table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = written(rows.withColumn("label", moved), "vectors")
+    return hard_negatives.hard_negatives(rows, rows.where("id % 100 = 0"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     each = [
         op1_line_dedup, op2_packing, op3_warc, op4_decontaminate, op5_language_id, op6_near_duplicates, op7_sharding,
         op8_quotes, op9_embedding_dedup, op10_secrets,
-        op11_conversation_trie,
+        op11_conversation_trie, op12_exact_dedup, op13_hard_negatives,
     ]
     return {f.__name__: f for f in each}
