@@ -10,120 +10,162 @@ from itertools import chain, count, filterfalse, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridiron.llm.common import ranked, written
 
-#: Surely one word of the tokenizer, or one and a mark: letters of Latin-1 that are what they are when lower-cased and composed.
-PLAIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[.,]?")
+#: Surely one word of the tokenizer: letters of Latin-1 that are what they are when lower-cased and composed.
+PLAIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: Punctuation between a letter and white space, which the tokenizer parts from the word before it (no apostrophes, no marks of special tokens).
+TAIL = r"([a-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}])([!-&(-/:;=?@\[-`{}~]+)([ \n\t\r\v\f]|$)"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordIds:
     """Token ids of texts by a tokenizer that lower-cases and for which white space always ends a token.
 
-    Texts are cut at blanks, line ends and tabs; the ids of a part are kept and looked
-    up, so the tokenizer only sees parts that are new to this task.  New parts that are
-    surely one word, or one and a punctuation mark, are encoded together in lines, told
-    apart by the ids that end a word.  The store is emptied when it is full, which
-    changes no result.
+    Texts are cut at ASCII white space and each different part of a portion is looked up
+    once among the parts this task knows, so the tokenizer only sees new ones; punctuation
+    after a word is a part of its own.  New parts that are surely one word are encoded
+    together in lines, told apart by the ids that end a word; others are told apart by a
+    special token between them.  Texts that hold the name of a special token are encoded whole.
+    The store is emptied when it is full, which changes no result.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 400_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.names = list(special.values())
+        self.between = min(special, default=None)
         self.most = most
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.count, self.flat = np.zeros(0, int), np.zeros(0, np.uint32)
+        self.count, self.flat = [np.zeros(0, int)], [np.zeros(0, np.uint32)]
 
     def learn(self, parts: list[str]) -> None:
         plain = list(filter(PLAIN.fullmatch, parts))
         odd = list(filterfalse(PLAIN.fullmatch, parts))
-        words = [2 if p[-1] in ".," else 1 for p in plain]
-        lines = [" ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
-        flat, counts = self._encoded(lines)
-        past = np.flatnonzero(self.ends[flat])[np.cumsum(words) - 1] + 1 if plain else np.zeros(0, int)
-        more, each = self._encoded(odd)
+        flat, _ = self._encoded([" ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)])
+        past = np.flatnonzero(self.ends[flat]) + 1
+        more, each = self._apart(odd)
         self.index.update(zip(chain(plain, odd), count(len(self.index))))
-        self.count = np.concatenate([self.count, np.diff(past, prepend=0), each])
-        self.flat = np.concatenate([self.flat, flat, more])
-        self.first = np.cumsum(self.count) - self.count
+        self.count = [np.concatenate([*self.count, np.diff(past, prepend=0), each])]
+        self.flat = [np.concatenate([*self.flat, flat, more])]
+
+    def _apart(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.between is None:
+            return self._encoded(parts)
+        mark = f" {self.tokenizer.id_to_token(self.between)} "
+        ids, _ = self._encoded([mark.join(parts[i : i + 256]) + mark for i in range(0, len(parts), 256)])
+        last = np.flatnonzero(ids == self.between)
+        return ids[ids != self.between], np.diff(last, prepend=-1) - 1
 
     def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.fromiter(map(len, ids), int, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum())), counts
 
-    def of(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [
-            t.encode().lower().decode().replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts
-        ]
-        flat = list(chain.from_iterable(parts))
-        at = np.fromiter(map(self.index.get, flat, repeat(-1)), int, len(flat))
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and how many each text has; null is empty."""
+        texts = texts.fill_null("")
+        named = np.zeros(len(texts), bool)
+        for name in self.names:
+            named |= pc.match_substring(texts, name, ignore_case=True).to_numpy(zero_copy_only=False)
+        if not named.any():
+            return self._of_parts(texts)
+        each = [self._encoded([t.as_py()]) if whole else self._of_parts(texts.slice(i, 1)) for i, (t, whole) in enumerate(zip(texts, named))]
+        return np.concatenate([ids for ids, _ in each]), np.concatenate([n for _, n in each])
+
+    def _of_parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        split = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(texts), TAIL, r"\1 \2\3"))
+        coded = split.flatten().dictionary_encode()
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = np.fromiter(map(self.index.get, parts, repeat(-1)), int, len(parts))
         new = np.flatnonzero(at < 0)
         if len(new):
-            unknown = list(map(flat.__getitem__, new.tolist()))
-            missing = list(dict.fromkeys(unknown))
-            if len(self.index) + len(missing) > self.most:
+            if len(self.index) + len(new) > self.most:
                 self.clear()
-                missing, new, unknown = list(dict.fromkeys(flat)), slice(None), flat
+                new = np.arange(len(parts))
+            missing = list(map(parts.__getitem__, new.tolist()))
             self.learn(missing)
-            at[new] = np.fromiter(map(self.index.__getitem__, unknown), int, len(unknown))
-        counts = self.count[at]
+            at[new] = np.fromiter(map(self.index.__getitem__, missing), int, len(missing))
+        known, flat = self.count[0], self.flat[0]
+        first = (np.cumsum(known) - known)[at]
+        code = coded.indices.to_numpy()
+        counts = known[at][code]
         ends = np.cumsum(counts)
-        ids = self.flat[np.repeat(self.first[at] - ends + counts, counts) + np.arange(ends[-1])]
-        last = np.cumsum([len(x) for x in parts]) - 1
-        return np.split(ids, ends[last][:-1])
-
-
-def in_portions(texts: list, most: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
-    """Runs of texts of about `most` characters, with the place of the first; null becomes empty."""
-    first, held, run = 0, 0, []
-    for i, t in enumerate(texts):
-        run.append(t or "")
-        held += len(run[-1])
-        if held >= most:
-            yield first, run
-            first, held, run = i + 1, 0, []
-    if run:
-        yield first, run
-
-
-def tokenized(docs: DataFrame, tokenizer: str, size: int, with_ids: bool) -> DataFrame:
-    """A row per piece of at most `size` ids of each document: its ids, then 0."""
+        ids = flat[np.repeat(first[code] - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
+        upto = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        return ids, np.diff(upto)
+
+
+def cut(text: str, most: int) -> Iterator[str]:
+    """The text in runs of about `most` characters, each but the last ending at a blank or line end."""
+    at = 0
+    while len(text) - at > most:
+        ends = [e for e in (text.find(c, at + most) for c in " \n") if e >= 0]
+        if not ends:
+            break
+        yield text[at : min(ends) + 1]
+        at = min(ends) + 1
+    if at < len(text):
+        yield text[at:]
+
+
+def in_portions(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, pa.Array]]:
+    """Runs of texts of about `most` bytes, with the place of the first."""
+    size = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < len(texts):
+        before = size[first - 1] if first else 0
+        past = max(first + 1, int(np.searchsorted(size, before + most, "right")))
+        yield first, texts.slice(first, past - first)
+        first = past
+
+
+def tokenized(docs: DataFrame, tokenizer: str, size: int, with_ids: bool, longest: int = 1 << 20) -> DataFrame:
+    """A row per piece of at most `size` ids of each document: its ids, then 0.
+
+    Texts are encoded in portions of about `longest` bytes; longer ones are cut at white space.
+    """
 
     def pieces(batches):
-        words = WordIds(tokenizer)
+        yield from cut_up(batches, WordIds(tokenizer))
+        pa.default_memory_pool().release_unused()  # the worker lives on
+
+    def cut_up(batches, words):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            for first, run in in_portions(texts.to_pylist()):
-                rows, piece, start, length, crc, tokens = [], [], [], [], [], []
-                for i, got in enumerate(words.of(run)):
-                    got = np.append(got, 0).astype("<u4")
-                    for k, s in enumerate(range(0, len(got), size)):
-                        cut = got[s : s + size]
-                        rows.append(first + i)
-                        piece.append(k)
-                        start.append(s)
-                        length.append(len(cut))
-                        crc.append(zlib.crc32(cut.tobytes()))
-                        if with_ids:
-                            tokens.append(cut.astype(np.int32))
-                out = [ids.take(pa.array(rows)), pa.array(piece, pa.int32())]
+            for first, run in in_portions(batch.column(1), longest):
+                if len(run) == 1 and len(text := run[0].as_py() or "") > longest:
+                    ids = np.concatenate([words.of(pa.array([part]))[0] for part in cut(text, longest)])
+                    counts = np.array([len(ids)])
+                else:
+                    ids, counts = words.of(run)
+                ids = np.insert(ids, np.cumsum(counts), 0).astype("<u4")
+                counts = counts + 1
+                n = -(-counts // size)
+                row = np.repeat(np.arange(len(counts)), n)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                start = piece * size
+                length = np.minimum(size, counts[row] - start)
+                place = (np.cumsum(counts) - counts)[row] + start
+                raw = memoryview(ids.tobytes())
+                crc = [zlib.crc32(raw[4 * a : 4 * (a + m)]) for a, m in zip(place.tolist(), length.tolist())]
+                out = [batch.column(0).take(pa.array(first + row)), pa.array(piece, pa.int32())]
                 out += [pa.array(x, pa.int64()) for x in (start, length, crc)]
                 if with_ids:
-                    out.append(pa.array(tokens, pa.list_(pa.int32())))
+                    out.append(pa.ListArray.from_arrays(pa.array(np.append(place, len(ids)), pa.int32()), pa.array(ids.astype(np.int32))))
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays(out, names[: len(out)])
 
@@ -207,7 +249,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, with_ids: bool = Tru
 
     `tokenizer` is a tokenizer file on every executor.  Returns doc_id, piece, start,
     length, ids_crc32, ids (unless `with_ids` is false), sequence_id, offset.  A null or
-    empty text is the single id 0; null and repeated doc_ids are packed like all others.
+    empty text is the single id 0; the name of a special token in a text is that token, as
+    the tokenizer has it; null and repeated doc_ids are packed like all others.
     """
     spark = docs.sparkSession
     pieces = written(tokenized(docs, tokenizer, size, with_ids), "pieces")
