@@ -13,45 +13,68 @@ from pyspark.sql import functions as F
 
 from gridiron.llm.common import hash128, lower_ascii, others, unpack, written
 
-#: A name of secrets, with what follows it up to its value; bounded, since it is looked for behind values.
-NAME = r"(?:token|key|secret|passw(?:or)?d|passwd|passphrase|pwd|credentials?|auth)"
-ASSIGN = r"(?i:" + NAME + r"[a-z0-9_\-]{0,16}[\"']?[ \t]{0,4}(?:[=:]|=>|:=)[ \t]{0,4})"
-BEARER = r"(?i:\bbearer[ \t]{1,4})"
-#: A candidate: a value of any length and punctuation after a name of secrets (in quotes up to the closing one) or after
-#: `Bearer`, a whole JWT, or sixteen or more characters of keys, tokens, paths and long words, which `=` only ends.
+#: Characters of keys, tokens, paths and words; names and long runs are looked for at the start of a run of these only.
+RUN = r"[\w+/\-]"
+NAME = r"(?i:token|key|secret|passw(?:or)?d|passwd|passphrase|pwd|credentials?|auth)"
+OPERATOR = r"[\"']?[ \t]{0,4}(?:=>|:=|[=:])[ \t]{0,4}"
+#: A run that ends with a name of secrets, and what follows it up to its value; whether an operator follows is looked up first.
+ASSIGN = rf"(?<!{RUN})(?={RUN}++[\"']?[ \t]{{0,4}}[=:]){RUN}*?{NAME}[\w\-]{{0,16}}(?!{RUN}){OPERATOR}"
+BEARER = r"(?i:bearer)[ \t]{1,4}"
+VALUE = r"(?![ \t=:>]|(?i:bearer)[ \t])[^\s\"'<>,;]*[^\s\"'<>,;.)\]}]"
+#: A candidate, with what goes before it: a value of any length and punctuation after a name of secrets (in quotes up to
+#: the closing one) or after `Bearer`, a whole JWT, or sixteen or more characters of RUN, which `=` only ends.  Nothing is
+#: tried behind a word's first character, and no group is repeated but possessively, so that neither time nor the
+#: matcher's stack grow with the length of a run more than they must.
 CANDIDATE = (
-    r"(?<=[\"'])(?<=" + ASSIGN + r"[\"'])[^\"'\r\n]+(?=[\"'])"
-    r"|(?<=[=:> \t\"'])(?:(?<=" + ASSIGN + r"[\"']?)|(?<=" + BEARER + r"))(?![ \t=:>]|(?i:bearer[ \t]))[^\s\"'<>,;]*[^\s\"'<>,;.)\]}]"
-    r"|\beyJ[A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]+)+"
-    r"|(?![A-Za-z0-9_+/\-]{0,64}?" + ASSIGN + r"[^\s])[A-Za-z0-9_+/\-]{16,}(?:={1,2}(?![A-Za-z0-9_+/\-]))?"
+    r"(?:(?<!\w)|\G)(?:"
+    rf"({ASSIGN})(?:([\"'])([^\"'\r\n]+)(?=[\"'])|([\"']?)({VALUE}))"
+    rf"|({BEARER})({VALUE})"
+    r"|(eyJ[\w\-]++(?:\.[\w\-]++)++"
+    rf"|(?:\G|(?<!{RUN})){RUN}{{16,}}+(?:={{1,2}}(?!{RUN}))?))"
 )
+#: The groups of CANDIDATE before a value, and those of values.
+BEFORE, VALUES = "$1$2$4$6", "$3$5$7$8"
 LETTERS, DIGITS = string.ascii_lowercase, string.digits
 NEAR = 48
 NUMBERS = ["length", "changes", "digits", "uppers", "symbols", "distinct", "hex", "coverage", "likelihood", "in_path", "assigned", "quoted"]
 
 
+def _parts(text: Column) -> Column:
+    """The text in pieces, those at odd places its candidates: one pass that sets marks, and a split at the marks.
+
+    The mark is a code point that is no character; a text that holds it gets one made from its own hash.
+    """
+    mark = F.when(F.contains(text, F.lit("\uffff")), F.concat(F.lit("\uffff"), F.sha1(text.cast("binary")))).otherwise(F.lit("\uffff"))
+    return F.transform(
+        F.array(mark),  # as a variable
+        lambda m: F.split(F.regexp_replace(text, F.lit(CANDIDATE), F.concat(F.lit(BEFORE), m, F.lit(VALUES), m)), m),
+    )[0]
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, t1, t2, nth, value, before, after, path of every candidate in the whole texts."""
     text = F.coalesce("text", F.lit(""))
     path = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in docs.columns else F.lit("")
-    rows = docs.where(F.col("text").rlike(CANDIDATE)).select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        *hash128(text, "t"),
-        path.alias("path"),
-        F.split(text, CANDIDATE).alias("between"),
-        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("values"),
-    )
-    at = rows.select(
-        "doc_id", "t1", "t2", "path",
-        F.posexplode(F.arrays_zip(
-            "values",
-            F.transform("between", lambda x: F.right(x, F.lit(NEAR))).alias("befores"),
-            F.transform(F.slice("between", F.lit(2), F.size("between")), lambda x: F.left(x, F.lit(NEAR))).alias("afters"),
-        )).alias("nth", "c"),
-    )
-    return at.where("c.values is not null").select(
-        "doc_id", "t1", "t2", "nth", F.col("c.values").alias("value"),
-        F.coalesce("c.befores", F.lit("")).alias("before"), F.coalesce("c.afters", F.lit("")).alias("after"), "path",
+
+    def beside(parts: Column) -> Column:
+        each = F.transform(
+            parts,
+            lambda x, i: F.struct(
+                i.alias("at"),
+                x.alias("value"),
+                F.right(F.coalesce(F.get(parts, i - 1), F.lit("")), F.lit(NEAR)).alias("before"),
+                F.left(F.coalesce(F.get(parts, i + 1), F.lit("")), F.lit(NEAR)).alias("after"),
+            ),
+        )
+        return F.filter(each, lambda c: c["at"] % 2 == 1)
+
+    found = F.transform(F.array(_parts(text)), beside)[0]  # the parts are a variable, made once
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *hash128(text, "t"), path.alias("path"), found.alias("found"))
+    each = rows.select("doc_id", "t1", "t2", "path", F.explode("found").alias("c"))
+    nth = F.floor((F.col("c.at") - 1) / 2).cast("int")
+    return each.select(
+        "doc_id", "t1", "t2", nth.alias("nth"), F.col("c.value").alias("value"), F.col("c.before").alias("before"),
+        F.col("c.after").alias("after"), "path",
     )
 
 
@@ -150,7 +173,7 @@ def by_rule(found: DataFrame, keep_all: bool = False) -> DataFrame:
     words of the dictionary.  Others stay out, or have a null label if all are kept.
     """
     value = F.col("value")
-    named = F.col("before").rlike(f"(?:{ASSIGN}[\"']?|{BEARER})$")
+    named = F.col("before").rlike(rf"(?:{NAME}[\w\-]{{0,16}}{OPERATOR}[\"']?|(?<!\w){BEARER})$")
     token = value.rlike(r"^eyJ[A-Za-z0-9_\-]+\.")
     url = value.contains("://")
     path = url | (F.col("in_path") > 0) & value.rlike(r"^[/.]|[A-Za-z]{3,}/[A-Za-z]{2,}|/[a-z]{3,}")
@@ -172,7 +195,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     Candidates are described by length, changes between kinds of characters, how likely
     their letters follow each other, the share covered by words of the corpus' dictionary,
     the path and the neighbouring words.  A random forest fitted to labelled findings
-    (doc_id, nth, label) removes the false positives; without any, those that `by_rule`
+    (doc_id, nth, label, or also t1, t2 as returned) removes the false positives; without any, those that `by_rule`
     labels in documents with crc32(doc_id as text) mod 5 other than 0 are taken.
 
     Returns doc_id, nth (from 0 within the text), value, probability, is_secret, one row per
@@ -182,11 +205,12 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     unlabelled has probability null and is_secret false.
     """
     words = written(dictionary(docs), "dictionary")
-    found = written(features(candidates(docs), words), "candidates")
+    found = written(features(written(candidates(docs), "candidates"), words), "featured")
     if labelled is None:
         known = by_rule(found).where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
     else:
-        known = found.join(labelled.select("doc_id", "nth", "label"), ["doc_id", "nth"])
+        place = [c for c in ("doc_id", "t1", "t2", "nth") if c in labelled.columns]  # with t1 and t2, texts of one doc_id are told apart
+        known = found.join(labelled.select(*place, "label"), place)
     if known.where("label = 0").isEmpty() or known.where("label = 1").isEmpty():
         ruled = by_rule(found, keep_all=True).withColumn("probability", F.col("label").cast("double"))
         judged = ruled.withColumn("is_secret", F.coalesce(F.col("probability") >= threshold, F.lit(False)))
@@ -206,8 +230,7 @@ def redact(docs: DataFrame, findings: DataFrame, mask: str = "[secret]") -> Data
     )
     same = [base.id.cast("long") == secret.doc_id, base.t1 == secret.t1, base.t2 == secret.t2]
     joined = base.join(secret, same, "left").select(base["*"], "hits")
-    values = F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
-    masked = F.transform(values, lambda v, i: F.when(F.array_contains("hits", i), F.lit(mask)).otherwise(v))
-    pieces = F.zip_with(F.split("text", CANDIDATE), masked, lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))
+    hit = lambda i: (i % 2 == 1) & F.array_contains("hits", F.floor((i - 1) / 2).cast("int"))
+    pieces = F.transform(_parts(F.col("text")), lambda x, i: F.when(hit(i), F.lit(mask)).otherwise(x))
     cleaned = F.when(F.col("hits").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
     return unpack(joined, docs.columns, {"doc_id": F.col("id"), "text": cleaned})
