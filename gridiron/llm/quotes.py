@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from gridiron.llm.common import hash128, others, unpack, written
 
 #: Quote marks at the start of a line: one or more `>`, each after up to three blanks, and one blank.
-MARKS = r"^((?: {0,3}>)+) ?"
+#: The group is repeated possessively, which a line of any number of marks passes without a deeper stack.
+MARKS = r"^((?: {0,3}+>)++) ?"
 MESSAGE = ["conv", "turn", "m1", "m2"]
 
 
