@@ -3,11 +3,14 @@
 import hashlib
 import math
 import random
+import string
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from gridiron.llm import (
     decontaminate,
@@ -95,9 +98,7 @@ def test_line_dedup_edges(spark):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(queries.tokenizer_file())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(queries.tokenizer_file())
 
 
 def test_packing_round_trip(spark, tokenizer):
@@ -142,11 +143,37 @@ def test_plans_use_every_piece(seed):
     assert sequences <= 1.05 * sum(n * c for n, c in counts.items()) / 64 + 1
 
 
+def ids_of(words, texts):
+    ids, counts = words.of(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
 def test_a_full_store_changes_nothing(tokenizer):
     texts = [LONG, "", "a b c. d, e", LONG[:5000]]
     small = packing.WordIds(queries.tokenizer_file(), most=50)
     for _ in range(2):
-        assert [x.tolist() for x in small.of(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids_of(small, texts) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+ODD = ["a", "B", "word", "Été", "İ", "ΣΑΣ", "ﬁ", "'s", "I'LL", "12", "№", "日本", "テスト。", ",", ".", "$$$", " ", "  ", "\n", "\x0b", "\x1c", "\x85"]
+ODD += ["\xa0", "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>", "<|", "|>", "\U0001f600", "ß", "\u0301", "=\u0338", "K"]
+
+
+@pytest.mark.parametrize("odd", [ODD, [x for x in ODD if "text" not in x.lower()]])
+def test_ids_of_odd_texts(tokenizer, odd):
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randrange(12))) for _ in range(4000)]
+    words = packing.WordIds(queries.tokenizer_file(), most=2000)
+    for i in range(0, len(texts), 500):
+        assert ids_of(words, texts[i : i + 500]) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts[i : i + 500]]
+
+
+def test_long_texts_are_cut_at_white_space(spark, tokenizer):
+    text = ("Some words, here. " * 50 + "unbroken" * 100 + "\n") * 20
+    assert "".join(packing.cut(text, 300)) == text and all(t[-1].isspace() for t in packing.cut(text, 300))
+    out = packing.tokenized(documents(spark, (1, text), (2, "x"), (3, "y" * 1000)), queries.tokenizer_file(), 1 << 20, True, longest=300)
+    expected = {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in ((1, text), (2, "x"), (3, "y" * 1000))}
+    assert {r.doc_id: r.ids for r in out.collect()} == expected
 
 
 # ------------------------------------------------------------------------ WARC
@@ -231,11 +258,36 @@ def test_language_id(spark):
     said = {r.doc_id: (r.lang_pred, r.score) for r in lang_id.identify(asked, model).collect()}
     assert {i: x[0] for i, x in said.items()} == {1: "en", 2: "de", 3: "und", 4: "und", 5: "und", 6: model.usual, None: "en", 7: "en"}
     assert all(0 <= x[1] <= 1 for x in said.values())
-    assert sorted(r.doc_id for r in lang_id.keep_identified(asked.where("doc_id is not null"), model).collect()) == [1, 2, 6, 7]
+    assert sorted(r.doc_id for r in lang_id.keep_identified(asked.where("doc_id is not null"), model).collect()) == [1, 2, 7]
     nothing = lang_id.train(docs.limit(0))
     assert {r.lang_pred for r in lang_id.identify(asked, nothing).collect()} == {"und"}
 
 
+def test_languages_equal_plain_sets(spark):
+    """The decision restated with sets of n-grams in place of filters, on random words of overlapping alphabets."""
+    rng = random.Random(4)
+    alphabets = {"a": "abcdefgh", "b": "efghijkl", "c": "ijklmnop"}
+    rows = [(i, " ".join("".join(rng.choices(alphabets[lang], k=4)) for _ in range(6)), lang) for i, lang in enumerate("abc" * 60)]
+    model = lang_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), least_share=0.03)
+
+    def grams(text):
+        padded = f" {text.lower()} "
+        return [padded[i - 1 : i + 2] for i in range(1, len(padded) - 1) if padded[i].isalpha()]
+
+    share = {x: Counter(g for _, t, lang in rows if lang == x for g in set(grams(t))) for x in alphabets}
+    most = {g: max(c[g] for c in share.values()) for c in share.values() for g in c}
+    held = {x: {g for g, n in c.items() if n >= 0.03 * 60 and n >= 0.5 * most[g]} for x, c in share.items()}
+    asked = [(1000 + i, " ".join("".join(rng.choices("abcdefghijklmnop"[k : k + 9], k=5)) for _ in range(20))) for i in range(40) for k in [rng.randrange(8)]]
+    said = {r.doc_id: r.lang_pred for r in lang_id.identify(spark.createDataFrame(asked, "doc_id long, text string"), model).collect()}
+    clear = 0
+    for i, text in asked:
+        hits = sorted(((sum(g in held[x] for g in grams(text)), x) for x in alphabets), reverse=True)
+        if hits[0][0] > hits[1][0] + 1:  # the correction for false positives is far below one hit
+            clear += 1
+            assert said[i] == hits[0][1]
+    assert clear > 20
+
+
 def test_filter_counts_are_corrected():
     grams = np.arange(1000)
     rows = np.zeros((1 << 12, 1), np.uint8)
@@ -481,3 +533,124 @@ def test_unquoted_short_and_punctuated_secrets(spark):
 def test_the_rule_decides_where_one_label_is_missing(spark):
     out = secret_scan.scan(documents(spark, (1, "api_key: a1b2c3d4e5f6a7b8c9d0"), (2, "key: x"))).collect()
     assert {(r.value, r.probability, r.is_secret) for r in out} == {("a1b2c3d4e5f6a7b8c9d0", 1.0, True), ("x", None, False)}
+
+
+def scanned(text):
+    """Candidates by a scanner that walks over the text, without the expressions of the library."""
+    run = set(string.ascii_letters + string.digits + "_+/-")
+    word = set(string.ascii_letters + string.digits + "_")
+    names = ["token", "key", "secret", "password", "passwd", "passphrase", "pwd", "credential", "credentials", "auth"]
+    found, at, last = [], 0, -1
+
+    def blanks(i, most=4):
+        n = 0
+        while n < most and text[i + n : i + n + 1] in (" ", "\t") and text[i + n : i + n + 1]:
+            n += 1
+        return i + n
+
+    def value(i):
+        if text[i : i + 1] in ("", " ", "\t", "=", ":", ">") or text[i : i + 6].lower() == "bearer" and text[i + 6 : i + 7] in (" ", "\t") and text[i + 6 : i + 7]:
+            return i
+        end = i
+        while end < len(text) and not text[end].isspace() and text[end] not in "\"'<>,;":
+            end += 1
+        while end > i and text[end - 1] in ".)]}":
+            end -= 1
+        return end
+
+    def named(i):
+        """The place of the value after a name that starts in the run at i."""
+        end = i
+        while end < len(text) and text[end] in run:
+            end += 1
+        lower = text[i:end].lower()
+        if not any(lower.find(n, k) == k and len(lower) - k - len(n) <= 16 and not set(lower[k + len(n) :]) & set("+/") for n in names for k in range(len(lower))):
+            return None
+        k = blanks(end + (text[end : end + 1] in ("'", '"') and text[end : end + 1] != ""))
+        for op in ("=>", ":=", "=", ":"):
+            if text.startswith(op, k):
+                return blanks(k + len(op))
+        return None
+
+    while at < len(text):
+        step = None
+        start = at == 0 or text[at - 1] not in run
+        if text[at] in run and (at == last or at == 0 or text[at - 1] not in word):
+            if start and (v := named(at)) is not None:
+                if text[v : v + 1] in ("'", '"') and text[v : v + 1]:
+                    end = v + 1
+                    while end < len(text) and text[end] not in "\"'\r\n":
+                        end += 1
+                    if end > v + 1 and text[end : end + 1] in ("'", '"') and text[end : end + 1]:
+                        step = (v + 1, end)
+                    elif value(v + 1) > v + 1:
+                        step = (v + 1, value(v + 1))
+                elif value(v) > v:
+                    step = (v, value(v))
+            if step is None and text[at : at + 6].lower() == "bearer" and (v := blanks(at + 6)) > at + 6 and value(v) > v:
+                step = (v, value(v))
+            if step is None and text.startswith("eyJ", at):
+                end = at
+                parts = []
+                while True:
+                    stop = end
+                    while stop < len(text) and text[stop] in word | {"-"}:
+                        stop += 1
+                    if stop == end:
+                        break
+                    parts.append(stop)
+                    if text[stop : stop + 1] != ".":
+                        break
+                    end = stop + 1
+                if len(parts) > 1 and parts[0] > at + 3:
+                    step = (at, parts[-1])
+            if step is None and (start or at == last):
+                end = at
+                while end < len(text) and text[end] in run:
+                    end += 1
+                if end - at >= 16:
+                    for n in (2, 1):
+                        if text[end : end + n] == "=" * n and text[end + n : end + n + 1] not in run:
+                            end += n
+                            break
+                    step = (at, end)
+        if step:
+            found.append(text[slice(*step)])
+            at = last = step[1]
+        else:
+            at += 1
+    return found
+
+
+def test_candidates_equal_a_plain_scanner(spark):
+    rng = random.Random(9)
+    bits = ["token", "Key", "secret", "pwd", "bearer ", "Bearer  ", "eyJ", "eyJab.c1.d2", "=", ":", "=>", " = ", '"', "'", ", ", ";", ".", "..", " ", "\n", "-", "/", "+"]
+    bits += ["a1b2c3d4", "x" * 15, "y" * 16, "AWS_", "my_", "http://", "(", ")", "é", "==", "p@ss!w0rd", "\uffff"]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randrange(1, 14)))) for i in range(3000)]
+    out = secret_scan.candidates(documents(spark, *rows)).orderBy("doc_id", "nth").collect()
+    found = {}
+    for r in out:
+        found.setdefault(r.doc_id, []).append(r.value)
+    for i, text in rows:
+        assert found.get(i, []) == scanned(text), text
+    assert sum(map(len, found.values())) > 1000
+
+
+def test_very_long_runs_and_marks(spark):
+    n = 100_000
+    rows = [(1, "eyJa" + ".ab" * n), (2, "token=" + "x" * n), (3, "key" * n + "= v1"), (4, "a" * n), (5, ("b" * 15 + ".") * n), (6, "\uffff token = abcd1234 \uffff")]
+    docs = documents(spark, *rows)
+    out = {r.doc_id: (r.value, r.before, r.after) for r in secret_scan.candidates(docs).collect()}
+    assert {i: len(v) for i, (v, _, _) in out.items()} == {1: 4 + 3 * n, 2: n, 3: 2, 4: n, 6: 8}
+    assert out[6] == ("abcd1234", "\uffff token = ", " \uffff")
+    found = secret_scan.candidates(docs).select("doc_id", "t1", "t2", "nth", F.lit(True).alias("is_secret"))
+    clean = {r.doc_id: r.text for r in secret_scan.redact(docs, found).collect()}
+    assert clean[6] == "\uffff token = [secret] \uffff" and clean[5] == rows[4][1] and clean[1] == "[secret]"
+
+
+def test_very_many_quote_marks(spark):
+    rows = [(1, 1, "a", "hello there"), (1, 2, "b", ">" * 100_000 + " hello there"), (1, 3, "c", "   >" * 50_000 + " hello  there\nyes")]
+    rows += [(1, 4, "d", "> " + "hello " * 100_000), (1, 5, "e", "> yes\n" * 50_000)]
+    out = {r.turn: r for r in quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert {t: r.parent_turn for t, r in out.items()} == {1: None, 2: 1, 3: 1, 4: None, 5: 3}
+    assert out[5].n_quoted == 50_000 and out[3].text == "yes"

@@ -13,6 +13,7 @@ def test_stages_in_order(spark, tmp_path):
     passage = " ".join(f"bench{i}x" for i in range(12))
     rows = [(i, f"the cat and the hat with number {i} and some other words that are all only for {i} x{i} y{i} z{i}", "en") for i in range(30)]
     rows += [(40, rows[3][1] + "\nan own line of forty", "en"), (50, f"text with {passage} inside", "en"), (60, None, "en"), (61, "123 456", "en")]
+    rows += [(62, "щука плыла по реке долго и счастливо", None), (63, "ζωη και θαλασσα μακρια απο εδω", None)]  # in no learned language
     docs = spark.createDataFrame([(i, t, lang, "s", len(t or "")) for i, t, lang in rows], DOCS)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
@@ -25,7 +26,7 @@ def test_stages_in_order(spark, tmp_path):
         docs = spark.read.parquet(f"{tmp_path}/{k}")
         kept.append({r.doc_id for r in docs.collect()})
     everything = {i for i, _, _ in rows}
-    assert kept[0] == everything - {60, 61} and kept[1] == kept[0]
+    assert kept[0] == everything - {60, 61, 62, 63} and kept[1] == kept[0]
     lines = {r.doc_id: (r.text, r.n_chars) for r in spark.read.parquet(f"{tmp_path}/1").collect()}
     assert lines[40] == ("an own line of forty", 20)
     _, component = brute_near([(i, t) for i, (t, _) in lines.items()], near_dup.Settings().words)
@@ -34,6 +35,14 @@ def test_stages_in_order(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == kept[4]
 
 
+def test_line_stage_keeps_columns_of_any_name(spark):
+    rows = [(1, "a shared line of text", 77, 5, "x"), (2, "a shared line of text\nown", 78, 6, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines int, n_dropped long, doc string")
+    out = corpus_pipeline.dedup_lines(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(tuple(r) for r in out.collect()) == [rows[0], (2, "own", 78, 6, "y")]
+
+
 def test_empty_table(spark, tmp_path):
     documents(spark).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
