@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridiron.llm import decontaminate, lang_id, line_dedup, near_dup, packing
-from gridiron.llm.common import others, written
+from gridiron.llm.common import others, unpack, written
 from gridiron.llm.queries import table, tokenizer_file
 
 #: Languages are learned from data by a model, which SQL can't express; tests compare with a brute-force version.
@@ -18,14 +18,16 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which no language is found: null texts and those without letters."""
+    """Drops documents in no learned language: too few of their n-grams are known, or the text is null or has no letter."""
     return lang_id.keep_identified(docs, lang_id.train(docs.where(lang_id.in_training())))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines that an earlier document holds; n_chars follows the text."""
-    kept = line_dedup.dedup_lines(docs).select(*docs.columns)
-    return kept.withColumn("n_chars", F.char_length("text").cast("long"))
+    """Drops lines that an earlier document holds; n_chars, if the table has it, follows the text; others stay, whatever their names."""
+    rows = docs.select(others(docs, "doc_id", "text").alias("doc"), "doc_id", "text")
+    kept = line_dedup.dedup_lines(rows)
+    length = {"n_chars": F.char_length("text").cast("long")} if "n_chars" in docs.columns else {}
+    return unpack(kept, docs.columns, {"doc_id": F.col("doc_id"), "text": F.col("text")} | length, "doc")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
