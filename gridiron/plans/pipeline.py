@@ -1,14 +1,14 @@
-"""The weekly run: land the sources, build views and marts, check them."""
+"""The weekly run: land the sources, build marts, check them, publish all of it at once."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridiron import schemas
 from gridiron.functions.scoring import DEFAULT_SCORING
@@ -44,43 +44,56 @@ class PipelineConfig:
 def _together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
     """Run independent jobs side by side, so that small ones fill gaps of large ones."""
     run = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(len(jobs), 8))) as pool:
         for done in [pool.submit(run(job)) for job in jobs]:
             done.result()
 
 
-def _write_seasons(config: PipelineConfig, df: DataFrame, name: str, skipped: Sequence[int] = ()) -> None:
-    if config.only_seasons:
-        tables.write_partitions(df, name, "season", set(config.seasons or ()) - set(skipped))
-    else:
-        tables.write_table(df, name, "season")
+def _requested(config: PipelineConfig) -> list[int] | None:
+    """The seasons to refresh; None for all there are."""
+    return list(config.seasons or ()) if config.only_seasons else None
 
 
-def land(spark: SparkSession, config: PipelineConfig) -> dict[str, list[int]]:
-    """Replace the raw tables from the landed files; returns the seasons that could not be read, by table.
+def _land_seasons(release: tables.Release, config: PipelineConfig, root: str, schema, name: str, skipped: list[int]) -> None:
+    """Lands every season by a job of its own, so that one which fails while it is read is left out like one that is missing."""
+    frames = seasons.season_frames(release.spark, root, config.seasons, skipped)
+    whole = seasons.union_seasons(frames.values(), schema).schema  # the columns and types of all seasons together
+    release.begin_seasons(name, whole, _requested(config))
+
+    def land_season(season: int, frame: DataFrame) -> None:
+        typed = seasons.cast_declared(frame, schema)
+        columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in whole if f.name in typed.columns]
+        try:
+            release.write_season(typed.select(*columns), name, season)
+        except seasons.UNREADABLE as error:
+            seasons.skip(season, root, error, skipped)
+
+    _together(release.spark, [lambda s=s, f=f: land_season(s, f) for s, f in frames.items()])
+    if set(frames) <= set(skipped):
+        raise seasons.NoSeasonError(f"no season of {root} could be read")
+
+
+def land(config: PipelineConfig, release: tables.Release) -> dict[str, list[int]]:
+    """Writes the raw tables from the landed files; returns the seasons that could not be read, by table.
 
     A refresh of given seasons keeps the old rows of one that could not be read.
     """
-    tables.ensure_databases(spark)
+    spark = release.spark
     skipped: dict[str, list[int]] = {"pbp": [], "rosters": []}
 
-    def land_seasons(root: str, schema, name: str) -> None:
-        frame = seasons.read_seasons(spark, root, schema, config.seasons, skipped[name])
-        _write_seasons(config, frame, f"{tables.RAW}.{name}", skipped[name])
-
     def land_league() -> None:
         flat = league.flatten_league(
             league.read_league_rosters(spark, config.league_rosters),
             league.read_league_users(spark, config.league_users),
             config.my_user_id,
         )
-        tables.write_table(flat, f"{tables.RAW}.sleeper_rosters")
+        release.write(flat, f"{tables.RAW}.sleeper_rosters")
 
     _together(
         spark,
         [
-            lambda: land_seasons(config.plays_root, schemas.PLAYS, "pbp"),
-            lambda: land_seasons(config.rosters_root, schemas.ROSTERS, "rosters"),
+            lambda: _land_seasons(release, config, config.plays_root, schemas.PLAYS, f"{tables.RAW}.pbp", skipped["pbp"]),
+            lambda: _land_seasons(release, config, config.rosters_root, schemas.ROSTERS, f"{tables.RAW}.rosters", skipped["rosters"]),
             land_league,
         ],
     )
@@ -94,53 +107,57 @@ def _staging_models(exclude_no_play: bool) -> dict[str, staging.StagingModel]:
     }
 
 
-def create_staging_views(spark: SparkSession, exclude_no_play: bool = False) -> None:
-    for name, model in _staging_models(exclude_no_play).items():
-        tables.create_view(spark, f"{tables.STAGING}.{name}", model.view_sql())
+def staging_views(exclude_no_play: bool = False) -> dict[str, str]:
+    """View name -> query."""
+    return {f"{tables.STAGING}.{name}": model.view_sql() for name, model in _staging_models(exclude_no_play).items()}
+
 
+def build_marts(config: PipelineConfig, release: tables.Release) -> None:
+    """Writes the marts from this release's raw tables."""
+    models, requested = _staging_models(config.exclude_no_play), _requested(config)
 
-def build_marts(spark: SparkSession, config: PipelineConfig) -> None:
     def staged(name: str) -> DataFrame:
-        df = spark.table(f"{tables.STAGING}.{name}")
-        if config.only_seasons and config.seasons and "season" in df.columns:
-            df = df.where(df.season.isin(list(config.seasons)))
+        df = models[name].build(release.table(models[name].source))
+        if requested and "season" in df.columns:
+            df = df.where(df.season.isin(requested))
         return df
 
     def write(name: str, df: DataFrame) -> None:
-        _write_seasons(config, df, f"{tables.MARTS}.{name}")
+        release.write(tables.by_partition(df, "season"), f"{tables.MARTS}.{name}", "season", requested)
+
+    def write_whole(name: str, df: DataFrame) -> None:
+        release.write(tables.by_partition(df, "season"), f"{tables.MARTS}.{name}", "season")
+
+    def mart(name: str) -> DataFrame:
+        return release.table(f"{tables.MARTS}.{name}")
 
     box = {"listed": boxscore.player_game_stats, "player": boxscore.player_game_stats_by_player}[config.grain]
 
     def build_game_stats() -> None:
-        stats = box(staged("stg_pbp_player_stats"), config.scoring)
-        write("fct_player_game_stats", tables.by_partition(stats, "season"))
+        write("fct_player_game_stats", box(staged("stg_pbp_player_stats"), config.scoring))
 
     def build_team_week() -> None:
-        write("fct_team_week_epa", tables.by_partition(teams.team_week_epa(staged("stg_pbp")), "season"))
+        write("fct_team_week_epa", teams.team_week_epa(staged("stg_pbp")))
 
     def build_player_week() -> None:
-        write("fct_player_week", tables.by_partition(players.player_week(staged("stg_rosters")), "season"))
+        write("fct_player_week", players.player_week(staged("stg_rosters")))
 
     def build_roster_status() -> None:
         # Ownership is a snapshot: a new one applies to all weeks, so this mart is always built in full.
-        weeks = spark.table(f"{tables.MARTS}.fct_player_week")
-        status = players.player_roster_status(weeks, spark.table(f"{tables.STAGING}.stg_sleeper_rosters"))
-        tables.write_table(tables.by_partition(status, "season"), f"{tables.MARTS}.fct_player_roster_status", "season")
+        write_whole("fct_player_roster_status", players.player_roster_status(mart("fct_player_week"), staged("stg_sleeper_rosters")))
 
     def build_base() -> None:
         # Owner and position are a player's, not a week's, so the base too is always built in full.
-        attributes, stats = f"{tables.MARTS}.player_attributes", f"{tables.MARTS}.fct_player_game_stats"
-        tables.write_table(q.first_attributes(spark.table(f"{tables.MARTS}.fct_player_roster_status")), attributes)
-        base = q.with_attributes(spark.table(stats), spark.table(attributes))
-        tables.write_table(tables.by_partition(base, "season"), f"{tables.MARTS}.player_week_base", "season")
+        release.write(q.first_attributes(mart("fct_player_roster_status")), f"{tables.MARTS}.player_attributes")
+        write_whole("player_week_base", q.with_attributes(mart("fct_player_game_stats"), mart("player_attributes")))
 
-    _together(spark, [build_game_stats, build_team_week, build_player_week])
+    _together(release.spark, [build_game_stats, build_team_week, build_player_week])
     build_roster_status()
     build_base()
 
 
-def check(spark: SparkSession, exclude_no_play: bool = False) -> DataFrame:
-    """Report over all checked views and marts; views over one raw table are counted in one read of it.
+def check(release: tables.Release, exclude_no_play: bool = False) -> DataFrame:
+    """Report over all checked views and marts of the release; views over one raw table are counted in one read of it.
 
     The checked columns are named in the raw tables as in the views.
     """
@@ -149,22 +166,24 @@ def check(spark: SparkSession, exclude_no_play: bool = False) -> DataFrame:
     for name in checks.NOT_NULL:
         source = models[name].source if name in models else f"{tables.MARTS}.{name}"
         parts.setdefault(source, {})[name] = models[name].condition() if name in models else "true"
-    return checks.quality_report([(spark.table(source), of) for source, of in parts.items()])
+    return checks.quality_report([(release.table(source), of) for source, of in parts.items()])
 
 
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> DataFrame:
-    """Land, build, check; returns the report, raises if a check of severity error is broken.
+    """Land, build, check, publish; returns the report.
 
-    A season that could not be read is a row of severity warn in the report.
+    If a check of severity error is broken it raises, and the tables stay those of the
+    run before; else all tables become this run's at once.  A season that could not be
+    read is a row of severity warn in the report.
     """
-    with tables.partitions_replaced_singly(spark) if config.only_seasons else nullcontext():
-        skipped = land(spark, config)
-        create_staging_views(spark, config.exclude_no_play)
-        build_marts(spark, config)
-    rows = check(spark, config.exclude_no_play)
+    release = tables.Release(spark)
+    skipped = land(config, release)
+    build_marts(config, release)
+    rows = check(release, config.exclude_no_play)
     unread = [
-        (f"{tables.RAW}.{name}", f"season={season}", checks.WARN, 1) for name, of in skipped.items() for season in of
+        (f"{tables.RAW}.{name}", f"season={season}", checks.WARN, 1) for name, of in skipped.items() for season in sorted(of)
     ]
     report = spark.createDataFrame([tuple(r) for r in rows.collect()] + unread, rows.schema)  # a row per check and season
     checks.enforce(report)
+    release.publish(staging_views(config.exclude_no_play))
     return report

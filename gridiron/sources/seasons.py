@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 log = logging.getLogger(__name__)
 
 FIRST_SEASON = 2024
+#: What reading a missing or damaged season raises.
+UNREADABLE = (PySparkException, Py4JJavaError)
 
 
 class NoSeasonError(ValueError):
@@ -61,6 +63,30 @@ def union_seasons(frames: Iterable[DataFrame], schema: T.StructType) -> DataFram
     return require_columns(merged, schema)
 
 
+def season_frames(
+    spark: SparkSession, root: str, seasons: Iterable[int] | None = None, skipped: list[int] | None = None
+) -> dict[int, DataFrame]:
+    """A lazy frame per readable season below ``root``; one that cannot be read is logged, skipped and added to ``skipped``.
+
+    A season has the columns of all its files: a Spark job per season merges their
+    footers.  A season that is missing, has a damaged footer or files whose types
+    contradict each other can't be read.
+    """
+    frames = {}
+    for season in seasons if seasons is not None else default_seasons():
+        try:
+            frames[season] = spark.read.option("basePath", root).option("mergeSchema", True).parquet(f"{root}/season={season}")
+        except UNREADABLE as error:
+            skip(season, root, error, skipped)
+    return frames
+
+
+def skip(season: int, root: str, error: Exception, skipped: list[int] | None) -> None:
+    log.warning("skipping season %s of %s: %s", season, root, str(error).splitlines()[0])
+    if skipped is not None:
+        skipped.append(season)
+
+
 def read_seasons(
     spark: SparkSession,
     root: str,
@@ -68,18 +94,9 @@ def read_seasons(
     seasons: Iterable[int] | None = None,
     skipped: list[int] | None = None,
 ) -> DataFrame:
-    """All readable seasons below ``root``; one that cannot be read is logged, skipped and added to ``skipped``.
+    """The union of :func:`season_frames`.
 
-    The files of one season are taken to share their columns, so one footer per
-    season is read; seasons may differ.  The season comes from the directory,
-    so a later filter on it leaves the other directories unread.
+    The season comes from the directory, so a later filter on it leaves the other
+    directories unread.
     """
-    frames = []
-    for season in seasons if seasons is not None else default_seasons():
-        try:
-            frames.append(spark.read.option("basePath", root).parquet(f"{root}/season={season}"))
-        except (PySparkException, Py4JJavaError) as error:  # no such path, or a damaged footer
-            log.warning("skipping season %s of %s: %s", season, root, str(error).splitlines()[0])
-            if skipped is not None:
-                skipped.append(season)
-    return union_seasons(frames, schema)
+    return union_seasons(season_frames(spark, root, seasons, skipped).values(), schema)

@@ -44,22 +44,22 @@ def report(spark, landed):
 
 
 def test_tables_and_views(spark, report):
-    kinds = {t.name: t.tableType for db in ("raw", "staging", "marts") for t in spark.catalog.listTables(db) if not t.isTemporary}
-    assert kinds == {
-        "pbp": "MANAGED",
-        "rosters": "MANAGED",
-        "sleeper_rosters": "MANAGED",
-        "stg_pbp": "VIEW",
-        "stg_pbp_player_stats": "VIEW",
-        "stg_rosters": "VIEW",
-        "stg_sleeper_rosters": "VIEW",
-        "fct_team_week_epa": "MANAGED",
-        "fct_player_week": "MANAGED",
-        "fct_player_roster_status": "MANAGED",
-        "fct_player_game_stats": "MANAGED",
-        "player_attributes": "MANAGED",
-        "player_week_base": "MANAGED",
+    names = {
+        "raw": {"pbp", "rosters", "sleeper_rosters"},
+        "staging": {"stg_pbp", "stg_pbp_player_stats", "stg_rosters", "stg_sleeper_rosters"},
+        "marts": {
+            "fct_team_week_epa",
+            "fct_player_week",
+            "fct_player_roster_status",
+            "fct_player_game_stats",
+            "player_attributes",
+            "player_week_base",
+        },
     }
+    kinds = {db: {t.name: t.tableType for t in spark.catalog.listTables(db) if not t.isTemporary} for db in (*names, "releases")}
+    assert {db: kinds[db] for db in names} == {db: dict.fromkeys(of, "VIEW") for db, of in names.items()}
+    rows = {f"{db}__{name}": "MANAGED" for db in ("raw", "marts") for name in names[db]}
+    assert kinds["releases"] == rows | {"current_runs": "VIEW"}
 
 
 def test_marts_equal_the_lazy_datasets(spark, sf_dir, report):
@@ -144,20 +144,86 @@ def test_player_grain_without_no_play(spark, landed):
     )
 
 
-def test_failed_overwrite_keeps_the_old_table(spark):
-    tables.ensure_databases(spark)
-    tables.write_table(spark.range(3), "raw.kept")
+def counts(spark):
+    return {name: spark.table(name).count() for name in tables.published_runs(spark)}
+
+
+def test_a_run_that_breaks_a_check_leaves_the_run_before(spark, landed, report, tmp_path):
+    before, runs = counts(spark), tables.published_runs(spark)
+    broken = spark.read.parquet(str(landed / "pbp" / "season=2000")).withColumn("game_id", F.lit(None).cast("string"))
+    broken.write.parquet(str(tmp_path / "pbp" / "season=2000"))
+    with pytest.raises(checks.CheckFailedError, match="game_id"):
+        pipeline.run_pipeline(spark, config(landed, plays_root=str(tmp_path / "pbp"), seasons=[2000], only_seasons=True))
+    assert counts(spark) == before and tables.published_runs(spark) == runs
+
+
+@pytest.mark.parametrize("step", ["create_view", "_point"])
+def test_a_run_killed_while_it_publishes_leaves_the_run_before(spark, landed, report, monkeypatch, step):
+    before, runs = counts(spark), tables.published_runs(spark)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, step, killed)
+        with pytest.raises(KeyboardInterrupt):
+            pipeline.run_pipeline(spark, config(landed, seasons=range(1995, 1998)))
+    assert counts(spark) == before and tables.published_runs(spark) == runs
+    pipeline.run_pipeline(spark, config(landed))  # the next run publishes, and what the killed one wrote goes
+    assert tables.published_runs(spark)["raw.pbp"].keys() == runs["raw.pbp"].keys()
+    used = {run for of in (*runs.values(), *tables.published_runs(spark).values()) for run in of.values()}
+    held = {r.partition.split("/")[0].split("=")[1] for r in spark.sql("SHOW PARTITIONS releases.raw__pbp").collect()}
+    assert held <= used
+
+
+def test_published_rows_alone_are_read(spark, report):
+    plan = spark.table("marts.fct_team_week_epa").where("season = 2000")._jdf.queryExecution().executedPlan().toString()
+    (scan,) = [line for line in plan.splitlines() if "FileScan" in line]
+    filters = scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "run_id" in filters and "season" in filters and "Subquery" not in plan
+
+
+def release(spark, *writes):
+    made = tables.Release(spark)
+    for df, name, *more in writes:
+        made.write(df, name, *more)
+    return made
+
+
+def test_failed_write_keeps_the_old_rows(spark):
+    release(spark, (spark.range(3), "raw.kept")).publish()
     with pytest.raises(Exception):
-        tables.write_table(spark.range(3).selectExpr("raise_error('broken') AS id"), "raw.kept")
+        release(spark, (spark.range(4).selectExpr("cast(raise_error('broken') as bigint) AS id"), "raw.kept")).publish()
+    assert spark.table("raw.kept").count() == 3
+    with pytest.raises(tables.ColumnTypeError, match="id: string"):
+        release(spark, (spark.sql("SELECT 'x' AS id"), "raw.kept"))
     assert spark.table("raw.kept").count() == 3
-    assert [t.name for t in spark.catalog.listTables("raw") if t.name.startswith("kept")] == ["kept"]
-    spark.sql("DROP TABLE raw.kept")
 
 
 def test_refresh_drops_empty_seasons_and_follows_columns(spark):
-    tables.ensure_databases(spark)
-    tables.write_table(spark.sql("SELECT 1 AS a, 1 AS b, 2024 AS season UNION ALL SELECT 2, 2, 2025"), "raw.drift", "season")
-    with tables.partitions_replaced_singly(spark):
-        tables.write_partitions(spark.sql("SELECT 3 AS a, 4 AS c, 2024 AS season"), "raw.drift", "season", [2024, 2025])
-    assert [tuple(r) for r in spark.table("raw.drift").select("a", "b", "c", "season").collect()] == [(3, None, 4, 2024)]
-    spark.sql("DROP TABLE raw.drift")
+    both = spark.sql("SELECT 1 AS a, 1 AS b, 2024 AS season UNION ALL SELECT 2, 2, 2025 UNION ALL SELECT 3, 3, 2026")
+    release(spark, (both, "raw.drift", "season")).publish()
+    draft = release(spark, (spark.sql("SELECT 3 AS a, 4 AS c, 2024 AS season"), "raw.drift", "season", [2024, 2025]))
+    assert {tuple(r) for r in draft.table("raw.drift").select("a", "season").collect()} == {(3, 2024), (3, 2026)}
+    assert {tuple(r) for r in spark.table("raw.drift").collect()} == {(1, 1, 2024), (2, 2, 2025), (3, 3, 2026)}  # as before
+    draft.publish()
+    rows = {tuple(r) for r in spark.table("raw.drift").select("a", "b", "c", "season").collect()}
+    assert rows == {(3, None, 4, 2024), (3, 3, None, 2026)}
+
+
+def test_season_that_fails_while_it_is_read_is_left_out(spark, landed, report, tmp_path):
+    """A damaged second file, and a damaged page behind a sound footer."""
+    for season in (1998, 1999, 2000):
+        one = spark.read.parquet(str(landed / "pbp" / f"season={season}")).coalesce(1)
+        one.write.parquet(str(tmp_path / "pbp" / f"season={season}"))
+    (tmp_path / "pbp" / "season=1999" / "part-9.parquet").write_bytes(b"no Parquet file")
+    (page,) = (tmp_path / "pbp" / "season=2000").glob("part-*.parquet")
+    data = bytearray(page.read_bytes())
+    data[4 : len(data) // 2] = bytes(len(data) // 2 - 4)
+    page.write_bytes(bytes(data))
+    for crc in (tmp_path / "pbp" / "season=2000").glob(".*.crc"):
+        crc.unlink()
+    rows = pipeline.run_pipeline(spark, config(landed, plays_root=str(tmp_path / "pbp"), seasons=[1998, 1999, 2000])).collect()
+    assert {r.column_name for r in rows if r.table_name == "raw.pbp"} == {"season=1999", "season=2000"}
+    assert [r.season for r in spark.table("raw.pbp").select("season").distinct().collect()] == [1998]
+    assert [r.season for r in spark.table("marts.fct_team_week_epa").select("season").distinct().collect()] == [1998]

@@ -130,3 +130,11 @@ def test_damaged_season_is_skipped(spark, tmp_path):
     (tmp_path / "season=2025" / "part-0.parquet").write_bytes(b"damaged")
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("season", T.IntegerType())])
     assert [r.season for r in seasons.read_seasons(spark, str(tmp_path), schema, [2023, 2024, 2025]).collect()] == [2024]
+
+
+def test_columns_of_a_later_file_are_kept(spark, tmp_path):
+    root = str(tmp_path / "plays")
+    write_season(spark, root, 2024, [(1, "a", 1.0)], "week int, player string, yards double")
+    spark.createDataFrame([(2, "b", 2.0, "x")], "week int, player string, yards double, extra string").write.mode("append").parquet(f"{root}/season=2024")
+    df = seasons.read_seasons(spark, root, SCHEMA, [2024])
+    assert {(r.week, r.player, r.yards, r.extra) for r in df.collect()} == {(1, "a", 1.0, None), (2, "b", 2.0, "x")}
