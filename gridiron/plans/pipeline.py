@@ -149,7 +149,9 @@ def build_marts(config: PipelineConfig, release: tables.Release) -> None:
     def build_base() -> None:
         # Owner and position are a player's, not a week's, so the base too is always built in full.
         release.write(q.first_attributes(mart("fct_player_roster_status")), f"{tables.MARTS}.player_attributes")
-        write_whole("player_week_base", q.with_attributes(mart("fct_player_game_stats"), mart("player_attributes")))
+        base = q.with_attributes(mart("fct_player_game_stats"), mart("player_attributes"))
+        # what boards and tiles filter by
+        release.write(tables.clustered(base, "season", "position", "player_name"), f"{tables.MARTS}.player_week_base", "season")
 
     _together(release.spark, [build_game_stats, build_team_week, build_player_week])
     build_roster_status()

@@ -58,8 +58,8 @@ LEAGUE_ROSTERS_JSON = T.StructType(
     ]
 )
 
-#: A user document stays a map, because a missing key and a null value differ.
-LEAGUE_USER = T.MapType(STR, STR)
+#: The name is a variant, because a missing key and a null value differ.
+LEAGUE_USER = T.StructType([T.StructField("user_id", STR), T.StructField("display_name", T.VariantType())])
 
 #: League snapshot after flattening, one row per (roster, player).
 LEAGUE_ROSTERS = _schema(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridiron.schemas import LEAGUE_ROSTERS, LEAGUE_ROSTERS_JSON, LEAGUE_USER
 
@@ -23,23 +22,22 @@ def read_league_rosters(spark: SparkSession, path: str) -> DataFrame:
 def read_league_users(spark: SparkSession, path: str) -> DataFrame:
     """Users as (user_id, owner_name), the last document of a user winning.
 
-    A user without ``display_name`` is named "unknown", a user whose
-    ``display_name`` is null keeps the null.  A struct schema would merge the
-    two cases, so each user is parsed as a map.  A broken document and an element
-    without user_id (an error response) are errors.
+    Documents are JSON arrays, one file per league, parsed element by element, so a
+    file of any size is never held as a whole.  A user without ``display_name`` is named
+    "unknown", a user whose ``display_name`` is null keeps the null: read as a variant,
+    the one is no value and the other a value that is null.  A broken document and an
+    element without user_id (an error response) are errors.
     """
-    documents = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.from_json("value", T.ArrayType(LEAGUE_USER), {"mode": "FAILFAST"}).alias("users"),
-    )
-    users = documents.select("file", F.posexplode("users").alias("pos", "user"))
+    users = spark.read.schema(LEAGUE_USER).json(path, multiLine=True, mode="FAILFAST")
+    # a file is read in order by one task, within which the ids increase
+    placed = users.select("*", F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id().alias("at")).alias("seq"))
     return last_user_wins(
-        users.select(
-            _required(F.col("user")["user_id"], "a league document has a user without user_id").alias("user_id"),
-            F.when(F.map_contains_key("user", "display_name"), F.col("user")["display_name"])
-            .otherwise(UNKNOWN_OWNER)
+        placed.select(
+            _required("user_id", "a league document has a user without user_id").alias("user_id"),
+            F.when(F.col("display_name").isNull(), UNKNOWN_OWNER)
+            .otherwise(F.try_variant_get("display_name", "$", "string"))
             .alias("owner_name"),
-            F.struct("file", "pos").alias("seq"),
+            "seq",
         )
     )
 

@@ -176,6 +176,19 @@ def test_a_run_killed_while_it_publishes_leaves_the_run_before(spark, landed, re
     assert held <= used
 
 
+def test_boards_skip_the_files_of_other_positions(spark, report):
+    """Files of the base hold ranges of positions, so most of a season's bytes are skipped by their statistics."""
+    base = spark.table("marts.player_week_base")
+    files = base.where("position is not null").select(F.input_file_name().alias("f"), "season", "position")
+    held = files.groupBy("season", "f").agg(F.countDistinct("position").alias("n")).collect()
+    by_season = {s: sum(r.season == s for r in held) for s in {r.season for r in held}}
+    kinds = base.select("position").where("position is not null").distinct().count()
+    # in files that follow the order of positions, each of f files but the first adds at most one position it shares with the one before
+    assert all(sum(r.n for r in held if r.season == s) <= kinds + n - 1 for s, n in by_season.items())
+    plan = q.waiver_leaderboard(base, 2000, "WR", min_games=1)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(position,WR)" in plan
+
+
 def test_published_rows_alone_are_read(spark, report):
     plan = spark.table("marts.fct_team_week_epa").where("season = 2000")._jdf.queryExecution().executedPlan().toString()
     (scan,) = [line for line in plan.splitlines() if "FileScan" in line]

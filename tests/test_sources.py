@@ -138,3 +138,16 @@ def test_columns_of_a_later_file_are_kept(spark, tmp_path):
     spark.createDataFrame([(2, "b", 2.0, "x")], "week int, player string, yards double, extra string").write.mode("append").parquet(f"{root}/season=2024")
     df = seasons.read_seasons(spark, root, SCHEMA, [2024])
     assert {(r.week, r.player, r.yards, r.extra) for r in df.collect()} == {(1, "a", 1.0, None), (2, "b", 2.0, "x")}
+
+
+def test_users_of_many_documents(spark, tmp_path):
+    """Duplicate, null, missing, empty and numeric names over several files; the last file's last document wins."""
+    first = [{"user_id": str(i % 500), "display_name": f"old {i}", "metadata": {"display_name": "inner"}} for i in range(3000)]
+    last = [{"user_id": "1"}, {"user_id": "2", "display_name": None}, {"user_id": "3", "display_name": 7}, {"display_name": "", "user_id": "4"}]
+    last += [{"user_id": "5", "display_name": "a"}, {"user_id": "5", "display_name": "b"}]
+    (tmp_path / "a.json").write_text(json.dumps(first))
+    (tmp_path / "b.json").write_text(json.dumps(last, indent=2))
+    (tmp_path / "c.json").write_text("[]")
+    users = {r.user_id: r.owner_name for r in league.read_league_users(spark, f"{tmp_path}/*.json").collect()}
+    expected = {str(i): f"old {2500 + i}" for i in range(500)}
+    assert users == expected | {"1": "unknown", "2": None, "3": "7", "4": "", "5": "b"}
