@@ -290,11 +290,13 @@ def _rest(open_: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     left = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
     fits = (
         (F.col("x_label") != F.col("y_label"))
-        & (F.col("x_outside") | F.col("y_outside"))
         & (F.col("x_n") >= F.col("y_n"))
         & ((100 + p) * left >= p * (F.col("x_n") + F.col("y_n")))
     )
-    return long.join(short, "hash").where(fits).select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
+    # one of a pair is outside its home; pairs of two that are not are never made, however many there are
+    looking = long.where("x_outside").join(short, "hash").where(fits)
+    looked_at = long.where("not x_outside").join(short.where("y_outside"), "hash").where(fits)
+    return looking.unionByName(looked_at).select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
 
 
 def _labelled(state: DataFrame, labels: DataFrame, of: str, name: str) -> DataFrame:
