@@ -127,7 +127,7 @@ def write_archive(
         out, path, offset = None, "", 0
         for batch in batches:
             rows = {c: [] for c in ("key", "page_id", "record_type", "refers_to", "payload_digest", "file", "offset", "length")}
-            for r in batch.to_pylist():
+            for r in (r for at in range(0, batch.num_rows, 64) for r in batch.slice(at, 64).to_pylist()):  # few payloads at a time
                 if out is None or offset >= file_bytes:
                     if out:
                         out.close()
@@ -295,6 +295,7 @@ def round_trip(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
         .groupBy(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest"))
         .agg(F.max("payload_bytes").alias("_bytes"))
     )
+    responses = written(responses, "responses")  # then Spark can split the revisits of a response that very many refer to
     same = (F.col("refers_to") == F.col("_id")) & (F.col("payload_digest") == F.col("_digest"))
     return records.join(responses, same, "left").select(
         "page_id", F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"
