@@ -51,6 +51,58 @@ FROM doc d LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc_id)
 """
 
 
+ARCHIVE = r"""
+WITH page AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+first AS (SELECT payload_digest, min(page_id) AS of FROM page WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN of < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN of < page_id THEN of END AS refers_to
+FROM page LEFT JOIN first USING (payload_digest)
+"""
+
+#: The components of links (x, y), from both ends, between ids; `many` counts an id's links.
+COMPONENTS = r"""
+reach AS (
+  SELECT id AS x, id AS y FROM node
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y),
+component AS (SELECT x AS id, min(y) AS component_id FROM reach GROUP BY x),
+many AS (SELECT x AS id, count(*) AS n_links FROM link GROUP BY x)
+"""
+
+NEAR = rf"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 4 THEN array_to_string(words, ' ')
+         ELSE array_to_string(list_slice(words, w_at, w_at + 3), ' ') END AS said
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS w_at FROM doc WHERE len(words) > 0)),
+node AS (SELECT doc_id AS id, count(said) AS n FROM doc LEFT JOIN shingle USING (doc_id) GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingle a JOIN shingle b USING (said)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT x, y FROM shared s JOIN node a ON a.id = x JOIN node b ON b.id = y
+  WHERE 100 * s.n >= 80 * (a.n + b.n - s.n)),
+{COMPONENTS}
+SELECT id AS doc_id, n AS n_shingles, component_id, id = component_id AS kept FROM node JOIN component USING (id)
+"""
+
+VECTORS = rf"""
+WITH RECURSIVE sound AS (
+  SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+unit AS (SELECT id, v, sqrt(list_dot_product(v, v)) AS norm FROM sound),
+node AS (SELECT vec_id AS id FROM embeddings),
+link AS (
+  SELECT a.id AS x, b.id AS y FROM unit a JOIN unit b ON a.id <> b.id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.95),
+{COMPONENTS}
+SELECT id AS vec_id, coalesce(n_links, 0) AS n_links, component_id, id = component_id AS kept
+FROM node JOIN component USING (id) LEFT JOIN many USING (id)
+"""
+
 TRIE = r"""
 WITH told AS (
   SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
@@ -129,7 +181,10 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": LINES,
+        "op3_warc": ARCHIVE,
         "op4_decontaminate": WINDOWS,
+        "op6_near_duplicates": NEAR,
+        "op9_embedding_dedup": VECTORS,
         "op11_conversation_trie": TRIE,
         "op12_exact_dedup": EXACT,
         "op13_hard_negatives": NEGATIVES,
