@@ -170,7 +170,7 @@ def embedding_duplicates(
     block: int = 2048,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    every_length: bool = False,
+    every_length: bool = True,
 ) -> DataFrame:
     """Links vectors of at least this cosine, in double precision.
 
@@ -182,8 +182,8 @@ def embedding_duplicates(
 
     Returns a row per input row: the id, n_links, component_id, kept.  Vectors that are
     null, empty, zero or not finite and rows without an id link with nothing and are
-    kept; so are vectors of another length than the most frequent one, unless
-    `every_length` has each length compared within itself.  Rows of one id are one
+    kept.  Vectors of each length are compared among themselves; without `every_length`
+    only those of the most frequent length are.  Rows of one id are one
     vector, the first in order of its components.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"))
