@@ -57,4 +57,4 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_every_operator_is_registered():
     names = entry.queries().keys()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
