@@ -179,6 +179,65 @@ def league_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     return documents, users
 
 
+#: Seasons asked of the landed files: the first is missing, one is damaged, a later one isn't asked for.
+LANDED_SEASONS = range(1994, 2001)
+DAMAGED_SEASON = 1996
+
+
+def land_plays(spark: SparkSession, sf_dir: str, root: str, whole: bool = True) -> None:
+    """Season files of the plays as a feed delivers them; a damaged file lies beside one season's.
+
+    Unless ``whole``, odd seasons lack ``air_yards`` and the files of even ones differ: those of
+    odd weeks lack ``epa``.
+    """
+    df = plays(spark, sf_dir)
+    if whole:
+        df.write.partitionBy("season").parquet(root)
+    else:
+        df.where("season % 2 = 1").drop("air_yards").write.partitionBy("season").parquet(root)
+        for odd, dropped in ((0, []), (1, ["epa"])):
+            part = df.where(f"season % 2 = 0 AND week % 2 = {odd}").drop(*dropped)
+            part.write.mode("append").partitionBy("season").parquet(root)
+    _damage(spark, f"{root}/season={DAMAGED_SEASON}")
+
+
+def land_rosters(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Season files of the rosters, damaged like those of the plays."""
+    rosters(spark, sf_dir).write.partitionBy("season").parquet(root)
+    _damage(spark, f"{root}/season={DAMAGED_SEASON}")
+
+
+def _damage(spark: SparkSession, path: str) -> None:
+    spark.range(1).selectExpr("'no Parquet file' AS value").write.mode("append").text(path)
+
+
+def land_league(spark: SparkSession, sf_dir: str, rosters_root: str, users_root: str, size: int = 100) -> None:
+    """League documents as JSON arrays, a file for every ``size`` customers.
+
+    A customer with c_custkey % 7 = 3 is in an earlier document too, by another name; one with
+    c_custkey % 13 = 5 lacks the key of the name, where a null name is written as null.
+    """
+    documents, users = league_documents(spark, sf_dir)
+    elements = documents.selectExpr(f"cast(roster_id div {size} as int) AS league", "to_json(struct(*)) AS element")
+    _documents(elements, rosters_root)
+    key = "cast(user_id as int)"
+    name = (
+        f"CASE WHEN {key} % 13 = 5 THEN '' "
+        "ELSE ', \"display_name\": ' || coalesce('\"' || owner_name || '\"', 'null') END"
+    )
+    named = users.selectExpr(f"{key} div {size} + 1 AS league", "user_id", f"{name} AS name")
+    former = users.where(f"{key} % 7 = 3").selectExpr(
+        f"{key} div {size} AS league", "user_id", "', \"display_name\": \"formerly ' || user_id || '\"' AS name"
+    )
+    _documents(named.unionByName(former).selectExpr("league", "'{\"user_id\": \"' || user_id || '\"' || name || '}' AS element"), users_root)
+
+
+def _documents(elements: DataFrame, root: str) -> None:
+    """One array a league; later leagues' files sort after earlier ones'."""
+    arrays = elements.groupBy("league").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("element")), F.lit("]")).alias("value"))
+    arrays.withColumn("league", F.lpad(F.col("league").cast("string"), 12, "0")).write.partitionBy("league").text(root)
+
+
 # ----------------------------------------------------- the same, as SQL text
 
 
@@ -193,6 +252,7 @@ def sql_tables() -> dict[str, str]:
         kept = "" if step is PLAY_STEPS[0] else "*, "
         source = f"(SELECT {kept}{', '.join(select_list(step))} FROM {source})"
     slots = ", ".join(f"({i}, '{s}', {'NULL' if p is None else repr(p)})" for i, s, p in SLOTS)
+    landed = f"season BETWEEN {min(LANDED_SEASONS)} AND {max(LANDED_SEASONS)} AND season <> {DAMAGED_SEASON}"
     return {
         "plays": _sql_types(f"SELECT {', '.join(select_list(PLAY_COLUMNS))} FROM {source}"),
         "rosters": _sql_types(
@@ -212,4 +272,9 @@ def sql_tables() -> dict[str, str]:
             JOIN (SELECT DISTINCT sleeper_id FROM rosters WHERE sleeper_id IS NOT NULL) AS ids
               ON CAST(ids.sleeper_id AS BIGINT) % 16 = c_custkey
             WHERE c_custkey <> 11""",
+        "league_landed": f"""
+            SELECT * REPLACE (CASE WHEN (roster_id - 1) % 13 = 5 THEN '{UNKNOWN_OWNER}' ELSE owner_name END AS owner_name)
+            FROM league""",
+        "plays_landed": f"SELECT * FROM plays WHERE {landed}",
+        "rosters_landed": f"SELECT * FROM rosters WHERE {landed}",
     }

@@ -30,9 +30,10 @@ class ColumnTypeError(TypeError):
     """A run brings a column in another type than the stored one."""
 
 
-def ensure_databases(spark: SparkSession) -> None:
+def ensure_databases(spark: SparkSession, root: str | None = None) -> None:
+    """Databases that are missing are made, below ``root`` if given, else in the warehouse."""
     for database in (RAW, STAGING, MARTS, RELEASES):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{root}/{database}'" if root else ""))
 
 
 def published_runs(spark: SparkSession) -> dict[str, dict[int, str]]:

@@ -13,6 +13,8 @@ from gridiron import fixtures
 SEASON = 2000
 WEEKS = (3, 15)
 MIN_GAMES = 3
+#: A season without rows.
+NO_SEASON = 1900
 
 _RIGHT = "two_point_attempt = 1 AND two_point_conv_result = 'success'"
 _MADE = "field_goal_attempt = 1 AND field_goal_result = 'made'"
@@ -194,18 +196,30 @@ def _tables() -> dict[str, str]:
 _TABLES = _tables()
 
 
-def _with(select: str) -> str:
+#: The landed inputs in place of the whole ones.
+_LANDED = {
+    "all_plays": _TABLES["plays"],
+    "all_rosters": _TABLES["rosters"],
+    "all_league": _TABLES["league"].replace("FROM rosters", "FROM all_rosters"),
+    **_TABLES,
+    "plays": _TABLES["plays_landed"].replace("FROM plays", "FROM all_plays"),
+    "rosters": _TABLES["rosters_landed"].replace("FROM rosters", "FROM all_rosters"),
+    "league": _TABLES["league_landed"].replace("FROM league", "FROM all_league"),
+}
+
+
+def _with(select: str, tables: dict[str, str] | None = None) -> str:
     """Put the tables that a statement uses, directly or not, in front of it as CTEs."""
-    needed: set[str] = set()
+    tables, needed = tables or _TABLES, set()
 
     def visit(text: str) -> None:
-        for name in set(re.findall(r"(?:FROM|JOIN|,)\s+(\w+)", text)) & _TABLES.keys():
+        for name in set(re.findall(r"(?:FROM|JOIN|,)\s+(\w+)", text)) & tables.keys():
             if name not in needed:
                 needed.add(name)
-                visit(_TABLES[name])
+                visit(tables[name])
 
     visit(select)
-    ctes = ",\n".join(f"{name} AS ({text})" for name, text in _TABLES.items() if name in needed)
+    ctes = ",\n".join(f"{name} AS ({text})" for name, text in tables.items() if name in needed)
     return f"WITH {ctes}\n{select}" if ctes else select
 
 
@@ -274,10 +288,13 @@ _BOARD = {
     "wr": ["targets", "receptions", "receiving_yards", "receiving_tds"],
     "te": ["targets", "receptions", "receiving_yards", "receiving_tds"],
 }
+#: The board of a position without a list of its own.
+_BOARD_FALLBACK = ["targets", "rushing_yards", "receiving_yards"]
+_FULLBACKS = "(SELECT * REPLACE (CASE WHEN player_id LIKE 'RB2-%' THEN 'FB' ELSE position END AS position) FROM base)"
 
 
 def _board(pool: str, position: str) -> str:
-    stats = _BOARD[position]
+    stats = _BOARD.get(position, _BOARD_FALLBACK)
     extra = ", ".join(
         f"sum({s}) AS {s}" if s.endswith("yards") else f"CAST(sum({s}) AS BIGINT) AS {s}" for s in stats
     )
@@ -297,7 +314,7 @@ def _board(pool: str, position: str) -> str:
                            sum(CAST(round(fantasy_points * 100) AS BIGINT)) / CAST(100 AS DOUBLE) AS total_fantasy_points,
                            count(*) AS n,
                            CAST(sum(team_targets) AS BIGINT) AS team_targets, {extra}
-                    FROM base
+                    FROM {"base" if position in _BOARD else _FULLBACKS}
                     WHERE season = {SEASON} AND {condition} AND position = '{position.upper()}'
                       AND player_name IS NOT NULL AND team IS NOT NULL
                     GROUP BY 1, 2, 3, 4))
@@ -305,7 +322,7 @@ def _board(pool: str, position: str) -> str:
     ).replace("* EXCLUDE (avg_points)", "* EXCLUDE (avg_points, n)")
 
 
-def _quality() -> str:
+def _quality(tables: dict[str, str] | None = None, unread: str = "") -> str:
     checks = [
         ("stg_pbp", "(SELECT * FROM plays WHERE play_type IS NOT NULL AND posteam IS NOT NULL)", [("game_id", "error"), ("play_type", "error")]),
         ("stg_rosters", "rosters", [("player_id", "warn"), ("team", "error")]),
@@ -328,6 +345,17 @@ def _quality() -> str:
             for table, source, columns in checks
             for column, severity in columns
         )
+        + unread,
+        tables,
+    )
+
+
+def _unread() -> str:
+    """The report's rows of seasons that could not be read."""
+    return "".join(
+        f" UNION ALL SELECT 'raw.{table}', 'season={season}', 'warn', 1"
+        for table in ("pbp", "rosters")
+        for season in (min(fixtures.LANDED_SEASONS), fixtures.DAMAGED_SEASON)
     )
 
 
@@ -384,6 +412,23 @@ def oracle_sql() -> dict[str, str]:
         ),
         "quality_report": _quality(),
         "tiles_fallback": _tiles(None),
+        "waiver_fallback": _board("waiver", "fb"),
+        "trade_fallback": _board("trade", "fb"),
+        "my_roster_totals_no_season": _with("SELECT * FROM totals WHERE false"),
+        "landed_plays": _with(
+            "SELECT season, week, game_id, posteam, play_type, yards_gained, "
+            "CASE WHEN season % 2 = 1 OR week % 2 = 0 THEN epa END AS epa, "
+            "CASE WHEN season % 2 = 0 THEN air_yards END AS air_yards FROM plays_landed"
+        ),
+        "landed_rosters": _with("SELECT * FROM rosters_landed"),
+        "landed_league": _with("SELECT * FROM league_landed"),
+        "weekly_run_report": _quality(_LANDED, _unread()),
+        "weekly_run_staging": _with(
+            "SELECT season, game_id, week, posteam AS possession_team, defteam AS defense_team, play_type, "
+            "yards_gained, epa FROM plays WHERE play_type IS NOT NULL AND posteam IS NOT NULL",
+            _LANDED,
+        ),
+        "weekly_run_base": _with("SELECT * FROM base", _LANDED),
     }
     for position in _BOARD:
         statements[f"tiles_{position}"] = _tiles(position.upper())
