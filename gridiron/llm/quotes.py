@@ -11,6 +11,8 @@ from gridiron.llm.common import hash128, others, unpack, written
 #: The group is repeated possessively, which a line of any number of marks passes without a deeper stack.
 MARKS = r"^((?: {0,3}+>)++) ?"
 MESSAGE = ["conv", "turn", "m1", "m2"]
+#: Sources are looked up within ranges of this many turns, and the last one of earlier ranges is carried in.
+TURNS = 1024
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:
@@ -26,10 +28,13 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 
     Returns the messages with `text` freed of quoted lines and these columns: n_quoted
     (quoted lines), n_found (passages and lines with a source), parent_turn (null if it
-    answers none), root_turn and depth.  Ordered by (conv_id, root_turn, turn), threads
-    stay together and every message comes after the one it answers.  A null text is kept as
-    null; messages of one conversation, turn, role and text are one message; rows with null
-    conv_id or turn answer none and are their own root; other columns are kept.
+    answers none), root_turn, depth and place: the row's place in its conversation in
+    reply order, from 0 without gaps.  Reply order is that of (root_turn, turn), nulls
+    first: threads stay together and every message comes after the one it answers.  Rows
+    equal in turn, role and text have any order.  A null text is kept as null; messages
+    of one conversation, turn, role and text are one message; rows with null conv_id or
+    turn answer none and are their own root, and rows with null conv_id count as one
+    conversation; other columns are kept.
     """
     text = F.coalesce("text", F.lit(""))
     key = [
@@ -53,8 +58,9 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     )
     found = threads.select(*(F.col(c).alias(f"of_{c}") for c in MESSAGE), "n_found", "parent_turn", "root_turn", "depth")
     joined = base.join(found, [F.col(c) == F.col(f"of_{c}") for c in MESSAGE], "left")
+    joined = joined.withColumn("root_turn", F.coalesce("root_turn", "turn"))
     return unpack(
-        joined,
+        _in_reply_order(joined.drop(*(f"of_{c}" for c in MESSAGE))),
         messages.columns,
         {
             "conv_id": F.col("conv"),
@@ -63,12 +69,28 @@ def link_quotes(messages: DataFrame) -> DataFrame:
             "n_quoted": F.col("n_quoted").cast("long"),
             "n_found": F.coalesce("n_found", F.lit(0)).cast("long"),
             "parent_turn": F.col("parent_turn"),
-            "root_turn": F.coalesce("root_turn", "turn"),
+            "root_turn": F.col("root_turn"),
             "depth": F.coalesce("depth", F.lit(0)).cast("long"),
+            "place": F.col("place"),
         },
     )
 
 
+def _in_reply_order(messages: DataFrame) -> DataFrame:
+    """Adds place.  Rows are dealt to ranges of the order and counted within them, so a conversation may lie in many tasks."""
+    order = ["root_turn", "turn", "m1", "m2", "salt"]
+    salted = messages.withColumn("salt", F.monotonically_increasing_id())  # so that repeated rows can be split too
+    dealt = written(salted.repartitionByRange("conv", *order).withColumn("part", F.spark_partition_id()), "ordered")
+    before = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("conv", "part").agg(F.count("*").alias("n"))
+    starts = counts.select(
+        F.col("conv").alias("of_conv"), F.col("part").alias("of_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
+    )
+    at = F.row_number().over(Window.partitionBy("conv", "part").orderBy(*order)) - 1
+    same = F.col("conv").eqNullSafe(F.col("of_conv")) & (F.col("part") == F.col("of_part"))
+    return dealt.withColumn("at", at).join(starts, same).withColumn("place", (F.col("at") + F.col("start")).cast("long"))
+
+
 def _units(lines: DataFrame) -> DataFrame:
     """Passages and single lines that are not empty: the message, level, h1, h2 and size (characters)."""
     marks = F.regexp_extract("line", MARKS, 1)
@@ -95,7 +117,11 @@ def _units(lines: DataFrame) -> DataFrame:
 
 
 def _parents(units: DataFrame) -> DataFrame:
-    """Each message that quotes with its parent: turn and hashes, n_found."""
+    """Each message that quotes with its parent: turn and hashes, n_found.
+
+    A line may be quoted in most messages of a conversation; what is looked up together
+    is only what is said and quoted of it within a range of turns.
+    """
     place = ["conv", "h1", "h2"]
     asked = units.where("level > 0").select(*place, "turn", "m1", "m2", "level", "size", F.lit(0).alias("kind"))
     # only what is quoted needs a source; a source turn is told once for each unit
@@ -106,9 +132,24 @@ def _parents(units: DataFrame) -> DataFrame:
         .agg(F.max(F.struct("m1", "m2")).alias("m"))
         .select(*place, "turn", "m.m1", "m.m2", F.lit(0).alias("level"), F.lit(0).alias("size"), F.lit(1).alias("kind"))
     )
-    earlier = Window.partitionBy(*place).orderBy("turn", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    source = F.last(F.when(F.col("kind") == 1, F.struct("turn", "m1", "m2")), ignorenulls=True).over(earlier)
-    found = asked.unionByName(sources).withColumn("source", source).where("kind = 0 and source is not null")
+    both = asked.unionByName(sources).withColumn("range", F.floor(F.col("turn") / TURNS))
+    both = written(both, "quoted")
+    said = F.when(F.col("kind") == 1, F.struct("turn", "m1", "m2"))
+    before = Window.partitionBy(*place).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        both.groupBy(*place, "range")
+        .agg(F.max(said).alias("latest"))
+        .withColumn("carried", F.last("latest", ignorenulls=True).over(before))
+        .drop("latest")
+    )
+    within = Window.partitionBy(*place, "range").orderBy("turn", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = (
+        both.withColumn("near", F.last(said, ignorenulls=True).over(within))
+        .where("kind = 0")
+        .join(carried, [*place, "range"])
+        .withColumn("source", F.coalesce("near", "carried"))
+        .where("source is not null")
+    )
     by_source = found.groupBy(*MESSAGE, "source", "level").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
     best = F.max(F.struct(-F.col("level"), "size", "source"))
     chosen = by_source.groupBy(*MESSAGE).agg(best.alias("best"), F.sum("n").alias("n_found"))

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import string
 import zlib
 from collections import Counter
@@ -241,7 +242,7 @@ def test_decontaminate(spark):
         (None, 2, 2, ["2"], ""),
     ]))
     joined = decontaminate.decontaminate(docs, benchmark, broadcast_bytes=0)
-    assert Counter(r.n_hit for r in joined.collect()) == Counter(x[2] for x in out)
+    assert Counter(str((r.doc_id, r.n_words, r.n_hit, r["items"], r.cleaned)) for r in joined.collect()) == Counter(map(str, out))
     assert {r.n_hit for r in decontaminate.decontaminate(docs, benchmark.limit(0)).collect()} == {0}
     assert decontaminate.decontaminate(docs.limit(0), benchmark).count() == 0
 
@@ -425,6 +426,85 @@ def test_long_reply_chains(spark):
     assert {r.turn: (r.root_turn, r.depth) for r in out} == {i: (0, i) for i in range(40)}
 
 
+def random_replies(seed, conversations=4, turns=60):
+    """Messages that quote earlier ones at random: whole or in part, re-quoted, with changed case and blanks."""
+    rng, rows = random.Random(seed), []
+    said = ["Yes.", "thanks  a lot", "what about\tthe plan?", "line one", "line two", "I agree", "See https://a.example/b"]
+    for conv in range(conversations):
+        texts = []
+        for turn in range(turns):
+            lines = []
+            for _ in range(rng.randrange(3)):
+                if texts:
+                    of = rng.choice(texts).split("\n")
+                    at = rng.randrange(len(of))
+                    mark = rng.choice(["> ", ">", " > ", ">> "])
+                    lines += [mark + (x.upper() if rng.random() < 0.3 else x) for x in of[at : at + rng.randrange(1, 4)]]
+                if rng.random() < 0.3:
+                    lines.append(rng.choice(["", "  ", ">"]))
+            lines += [rng.choice(said) if rng.random() < 0.5 else f"number {rng.randrange(30)} of {conv}" for _ in range(rng.randrange(4))]
+            texts.append("\n".join(lines))
+            rows.append((conv, turn * rng.choice([1, 3]) + 1000 * turn, "u", texts[-1]))
+    return rows
+
+
+def plain_replies(rows):
+    """(conversation, turn) -> n_found, parent, root, depth, place by looking through all earlier messages."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        own, reply = {}, {}
+        for _, turn, _, text in sorted(r for r in rows if r[0] == conv):
+            runs, last = [], None
+            for line in text.split("\n"):
+                body, level = line, 0
+                mark = re.match(r"(?: {0,3}>)+ ?", line)
+                if mark:
+                    body, level = line[mark.end() :], mark.group().count(">")
+                body = re.sub(r"\s+", " ", body).strip(" ").lower()
+                if body and last == level:
+                    runs[-1][1].append(body)
+                elif body:
+                    runs.append((level, [body]))
+                last = level if body else None
+            units = [(level, unit) for level, lines in runs for unit in {" ".join(lines), *lines}]
+            answers = Counter()
+            n = 0
+            for level, unit in units:
+                if level and unit in own:
+                    answers[-level, own[unit]] += len(unit)
+                    n += 1
+            best = max(((level, size, source) for (level, source), size in answers.items()), default=None)
+            reply[turn] = (n, best[2] if best else None)
+            own |= {unit: turn for level, unit in units if not level}
+        for turn, (n, parent) in reply.items():
+            root, depth = turn, 0
+            while reply[root][1] is not None:
+                root, depth = reply[root][1], depth + 1
+            out[conv, turn] = (n, parent, root, depth)
+    order = {}
+    for conv in {c for c, _ in out}:
+        for place, (_, turn) in enumerate(sorted((v[2], t) for (c, t), v in out.items() if c == conv)):
+            order[conv, turn] = place
+    return {k: (*v, order[k]) for k, v in out.items()}
+
+
+@pytest.mark.parametrize("turns", [1, 4096])
+def test_replies_equal_brute_force(spark, monkeypatch, turns):
+    monkeypatch.setattr(quotes, "TURNS", turns)
+    rows = random_replies(turns)
+    out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    found = {(r.conv_id, r.turn): (r.n_found, r.parent_turn, r.root_turn, r.depth, r.place) for r in out}
+    assert found == plain_replies(rows) and sum(v[1] is not None for v in found.values()) > 50
+
+
+def test_a_line_quoted_in_every_message(spark):
+    rows = [(1, 0, "u", "the one line")] + [(1, i, "u", "> the one line\nI see") for i in range(1, 3000)] + [(1, 7, "u", "> the one line\nI see")] * 50
+    out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r.parent_turn, r.depth) for r in out if r.turn} == {(0, 1)}
+    assert sorted(r.place for r in out) == list(range(len(rows)))
+    assert [r.turn for r in sorted(out, key=lambda r: r.place)] == sorted(r[1] for r in rows)
+
+
 # ------------------------------------------------------------------ embeddings
 
 
@@ -469,6 +549,14 @@ def test_each_length_is_compared_within_itself(spark, tmp_path):
     assert out == {i: (3, 0) for i in range(4)} | {i: (2, 10) for i in (10, 11, 12)} | {20: (1, 20), 21: (1, 20)}
 
 
+def test_products_with_many_centres_are_cut_into_small_slices():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5000))], ["id"])
+    for cells in (1, 2048, 1 << 15, 1 << 23):
+        parts = list(embed_dedup._slices(batch, cells))
+        assert [x for part in parts for x in part.column(0).to_pylist()] == list(range(5000))
+        assert max(p.num_rows for p in parts) * cells <= max(1 << 22, cells)
+
+
 def test_copies_of_vectors_are_compared_once(spark, monkeypatch):
     rng = np.random.default_rng(3)
     near = np.array([1.0, 0.0, 0.0, 0.0]), np.array([1.0, 0.1, 0.0, 0.0])
@@ -478,9 +566,9 @@ def test_copies_of_vectors_are_compared_once(spark, monkeypatch):
     compare = embed_dedup._compare
     monkeypatch.setattr(embed_dedup, "_compare", lambda b, *a: compared.append(b.count()) or compare(b, *a))
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    out = {r.vec_id: r for r in embed_dedup.embedding_duplicates(frame).collect()}
+    out = {r.vec_id: r for r in embed_dedup.embedding_duplicates(frame, every_length=False).collect()}
     assert all((out[i].n_links, out[i].component_id, out[i].kept) == (299, 10, i == 10) for i in range(10, 310))
-    assert out[500].n_links == out[501].n_links == 0  # another length links with nothing
+    assert out[500].n_links == out[501].n_links == 0  # another length links with nothing if only one is compared
     assert compared[0] <= 7 * 5  # two classes and five vectors, looks and homes
 
 
