@@ -31,6 +31,13 @@ def _rows(column: pa.Array, dim: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _slices(batch: pa.RecordBatch, cells: int):
+    """Parts of a batch whose products with all centres take at most 32 MB."""
+    step = max(1, min(2048, (1 << 22) // cells))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
 def fit_cells(vectors: DataFrame, dim: int, n: int, rounds: int = 4) -> np.ndarray:
     """Centres of about sqrt(n) cells by spherical k-means over all vectors.
 
@@ -44,8 +51,8 @@ def fit_cells(vectors: DataFrame, dim: int, n: int, rounds: int = 4) -> np.ndarr
 
         def sums(batches, centres=centres):
             total, count = np.zeros_like(centres), np.zeros(len(centres), np.int64)
-            for batch in batches:
-                x = _rows(batch.column(0), dim)
+            for part in (part for batch in batches for part in _slices(batch, len(centres))):
+                x = _rows(part.column(0), dim)
                 cell = (x @ centres.T).argmax(axis=1)
                 np.add.at(total, cell, x)
                 count += np.bincount(cell, minlength=len(centres))
@@ -75,8 +82,7 @@ def _placed(vectors: DataFrame, centres: np.ndarray, cosine: float) -> DataFrame
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for part in _slices(batch, len(centres)):
                 near = _rows(part.column(1), centres.shape[1]) @ centres.T
                 home = near.argmax(axis=1)
                 apart = square[home][:, None] + square - 2 * (centres[home] @ centres.T)
