@@ -72,10 +72,12 @@ def decontaminate(
     else:
         at = at.withColumn("k", F.explode(F.array(*map(F.lit, lengths))))
     window = F.slice("words", F.col("at"), F.col("k"))
+    at, said = at.withColumn("h", F.xxhash64(window)), F.array_join(window, " ")
+    if bound.bytes > broadcast_bytes:  # of a position only its window is shuffled, not the document's words
+        at, said = at.withColumn("said", said).drop("words"), F.col("said")
     hits = (
-        at.withColumn("h", F.xxhash64(window))
-        .join(windows, ["h", "k"])
-        .where(F.array_join(window, " ") == F.col("window"))
+        at.join(windows, ["h", "k"])
+        .where(said == F.col("window"))
         .select("id", "t1", "t2", "at", (F.col("at") + F.col("k")).alias("end"), "items")
     )
     earlier = Window.partitionBy("id", "t1", "t2").orderBy("at", "end").rowsBetween(Window.unboundedPreceding, -1)
