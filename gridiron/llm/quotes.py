@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,13 +31,12 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 
     Returns the messages with `text` freed of quoted lines and these columns: n_quoted
     (quoted lines), n_found (passages and lines with a source), parent_turn (null if it
-    answers none), root_turn, depth and place: the row's place in its conversation in
+    answers none), root_turn, depth and place: the message's place in its conversation in
     reply order, from 0 without gaps.  Reply order is that of (root_turn, turn), nulls
-    first: threads stay together and every message comes after the one it answers.  Rows
-    equal in turn, role and text have any order.  A null text is kept as null; messages
-    of one conversation, turn, role and text are one message; rows with null conv_id or
-    turn answer none and are their own root, and rows with null conv_id count as one
-    conversation; other columns are kept.
+    first: threads stay together and every message comes after the one it answers.  A
+    null text is kept as null; messages of one conversation, turn, role and text are one
+    message and share its place; rows with null conv_id or turn answer none and are their
+    own root, and those with null conv_id count as one conversation; other columns are kept.
     """
     text = F.coalesce("text", F.lit(""))
     key = [
@@ -56,11 +58,11 @@ def link_quotes(messages: DataFrame) -> DataFrame:
         F.when(F.col("text").isNotNull(), F.array_join(own, "\n")).alias("own"),
         F.size(quoted).alias("n_quoted"),
     )
-    found = threads.select(*(F.col(c).alias(f"of_{c}") for c in MESSAGE), "n_found", "parent_turn", "root_turn", "depth")
-    joined = base.join(found, [F.col(c) == F.col(f"of_{c}") for c in MESSAGE], "left")
-    joined = joined.withColumn("root_turn", F.coalesce("root_turn", "turn"))
+    placed = _in_reply_order(base.select(*MESSAGE).distinct().join(threads.drop("p1", "p2", "r1", "r2"), MESSAGE, "left"))
+    found = placed.select(*(F.col(c).alias(f"of_{c}") for c in MESSAGE), "n_found", "parent_turn", "root_turn", "depth", "place")
+    joined = base.join(found, reduce(and_, (F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in MESSAGE)))
     return unpack(
-        _in_reply_order(joined.drop(*(f"of_{c}" for c in MESSAGE))),
+        joined,
         messages.columns,
         {
             "conv_id": F.col("conv"),
@@ -77,10 +79,13 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 
 
 def _in_reply_order(messages: DataFrame) -> DataFrame:
-    """Adds place.  Rows are dealt to ranges of the order and counted within them, so a conversation may lie in many tasks."""
-    order = ["root_turn", "turn", "m1", "m2", "salt"]
-    salted = messages.withColumn("salt", F.monotonically_increasing_id())  # so that repeated rows can be split too
-    dealt = written(salted.repartitionByRange("conv", *order).withColumn("part", F.spark_partition_id()), "ordered")
+    """Adds place to distinct messages.
+
+    They are dealt to ranges of the order and counted within them, so a conversation may lie in many tasks.
+    """
+    order = ["root_turn", "turn", "m1", "m2"]
+    rooted = messages.withColumn("root_turn", F.coalesce("root_turn", "turn"))
+    dealt = written(rooted.repartitionByRange("conv", *order).withColumn("part", F.spark_partition_id()), "ordered")
     before = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = dealt.groupBy("conv", "part").agg(F.count("*").alias("n"))
     starts = counts.select(

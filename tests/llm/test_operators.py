@@ -501,8 +501,14 @@ def test_a_line_quoted_in_every_message(spark):
     rows = [(1, 0, "u", "the one line")] + [(1, i, "u", "> the one line\nI see") for i in range(1, 3000)] + [(1, 7, "u", "> the one line\nI see")] * 50
     out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
     assert {(r.parent_turn, r.depth) for r in out if r.turn} == {(0, 1)}
-    assert sorted(r.place for r in out) == list(range(len(rows)))
-    assert [r.turn for r in sorted(out, key=lambda r: r.place)] == sorted(r[1] for r in rows)
+    assert {r.turn: r.place for r in out} == {i: i for i in range(3000)} and len(out) == len(rows)
+
+
+def test_places_of_rows_with_nulls(spark):
+    rows = [(1, 0, "u", "a"), (1, None, "u", "> a"), (1, None, "u", "b"), (None, 2, "u", "c"), (None, 1, "u", None), (None, 1, "u", None)]
+    out = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted(r.place for r in out if r.conv_id == 1) == [0, 1, 2] and {r.place for r in out if r.turn == 0} == {2}
+    assert sorted((r.place, r.turn) for r in out if r.conv_id is None) == [(0, 1), (0, 1), (1, 2)]
 
 
 # ------------------------------------------------------------------ embeddings
