@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridiron.llm import decontaminate, lang_id, line_dedup, near_dup, packing
-from gridiron.llm.common import others, unpack, written
+from gridiron.llm.common import delete, new_path, others, unpack, work_folder, written
 from gridiron.llm.queries import table, tokenizer_file
 
 #: Languages are learned from data by a model, which SQL can't express; tests compare with a brute-force version.
@@ -57,7 +57,17 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over `documents`.
+
+    A stage's working tables go when its result is written, and so does the result of the
+    stage before it; the last stage's stay, since its rows are still to be computed.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with work_folder(spark, name):
+            docs = written(stage(spark, docs, sf_dir), name, path)
+        if before:
+            delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,6 +5,9 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 WHITE = " \t\n\x0b\x0c\r"
 
 _OWN: dict[str, str] = {}
+_WORK: ContextVar[str | None] = ContextVar("work", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,12 +34,33 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_WORK.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder of the shared folder, if it is there."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+@contextmanager
+def work_folder(spark: SparkSession, name: str) -> Iterator[None]:
+    """Tables written inside go to a folder of their own, which is deleted at the end.
+
+    So a result that is still to be computed from them must be written inside, to a path made outside.
+    """
+    path = new_path(spark, f"{name}-work")
+    before = _WORK.set(path)
+    try:
+        yield
+    finally:
+        _WORK.reset(before)
+        delete(spark, path)
+
+
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """`df` as a table written to the shared folder: cuts lineage and survives lost executors."""
-    path = new_path(df.sparkSession, name)
+    path = path or new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

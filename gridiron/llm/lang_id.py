@@ -119,17 +119,19 @@ def document_counts(labelled: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(labelled: DataFrame, least_share: float = 0.02, least_ratio: float = 0.5) -> Model:
+def train(labelled: DataFrame, least_share: float = 0.02, least_ratio: float = 0.5, most_languages: int = 1000) -> Model:
     """Fills the filters from all rows of `labelled` (text, lang).
 
     An n-gram is in a language's filter if at least `least_share` of the language's
     documents have it, and it is at least `least_ratio` as common there as where it is
     most common.  The first bound also bounds the model: a language has at most its mean
     number of distinct n-grams per document divided by the share, whatever the input.
+    The `most_languages` with most documents are learned (ties: first by name), so that a
+    column full of stray labels, each of a document or two, can't make the model grow.
     """
     sums = written(document_counts(labelled), "gram-counts")
-    totals = sums.where("gram = -1").select("lang", F.col("n").alias("docs"))
-    docs = {r.lang: r.docs for r in totals.collect()}  # a row per language
+    totals = sums.where("gram = -1").select("lang", F.col("n").alias("docs")).orderBy(F.desc("docs"), "lang").limit(most_languages)
+    docs = {r.lang: r.docs for r in totals.collect()}  # a row per learned language
     shares = sums.where("gram >= 0").join(F.broadcast(totals), "lang").select(
         "lang", "gram", (F.col("n") / F.col("docs")).alias("share")
     )

@@ -264,6 +264,14 @@ def test_language_id(spark):
     assert {r.lang_pred for r in lang_id.identify(asked, nothing).collect()} == {"und"}
 
 
+def test_the_most_frequent_languages_are_learned(spark):
+    rows = [(i, f"word{i} the cat", lang) for i, lang in enumerate(["a", "b", "b", "c", "c", "stray"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert lang_id.train(docs, most_languages=2).languages == ["b", "c"]
+    assert lang_id.train(docs, most_languages=3).languages == ["a", "b", "c"]
+    assert lang_id.train(docs).languages == ["a", "b", "c", "stray"]
+
+
 def test_languages_equal_plain_sets(spark):
     """The decision restated with sets of n-grams in place of filters, on random words of overlapping alphabets."""
     rng = random.Random(4)

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from gridiron.llm import near_dup, oracles
+from gridiron.llm import common, near_dup, oracles
 from tests.llm.test_operators import DOCS, brute_near, documents
 from tests.oracle_check import compare, connect
 
@@ -35,6 +35,19 @@ def test_stages_in_order(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == kept[4]
 
 
+def test_a_run_leaves_only_what_its_rows_are_computed_from(spark, tmp_path, monkeypatch):
+    rows = [(i, f"the cat and the hat with number {i} and some other words that are all only for {i} x{i} y{i} z{i}", "en", "s", 9) for i in range(30)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    folder = tmp_path / "shared"
+    monkeypatch.setattr(common, "shared_folder", lambda spark: f"file://{folder}")
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    left = sorted(x.name.rsplit("-", 1)[0] for x in folder.iterdir())
+    assert packed.count() == 30
+    assert "decontaminate" in left and not {"language_id", "line_dedup", "near_dedup", "links", "sketches"} & set(left)
+    assert not any(name.endswith("-work") for name in left)
+
+
 def test_line_stage_keeps_columns_of_any_name(spark):
     rows = [(1, "a shared line of text", 77, 5, "x"), (2, "a shared line of text\nown", 78, 6, "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines int, n_dropped long, doc string")
