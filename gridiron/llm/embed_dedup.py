@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,35 +96,49 @@ def _placed(vectors: DataFrame, centres: np.ndarray, cosine: float) -> DataFrame
     return vectors.select("id", "v", "w").mapInArrow(run, "id long, v array<double>, w long, cells array<long>")
 
 
-def _blocks(placed: DataFrame, block: int) -> DataFrame:
-    """Rows dealt to the blocks of their cells: cell, h, p, home, own, id, v, w.
+def _near_first(centres: np.ndarray, size: int) -> np.ndarray:
+    """An order of the centres in which every run of `size` lies close together: halved across the widest direction."""
+    if len(centres) <= size:
+        return np.arange(len(centres))
+    x = centres - centres.mean(axis=0)
+    order = np.argsort(x @ np.linalg.svd(x, full_matrices=False)[2][0], kind="stable")
+    cut = -(-len(centres) // (2 * size)) * size
+    return np.concatenate([half[_near_first(centres[half], size)] for half in (order[:cut], order[cut:])])
 
-    A cell's own vectors are cut into parts of about `block` rows by a hash of the id,
-    and so are the vectors that look into it; a block is a pair of parts.  So a cell of
-    any size is many tasks.
+
+def _blocks(placed: DataFrame, block: int, size: int) -> DataFrame:
+    """Rows dealt to the blocks of their groups of `size` cells: g, h, p, at_home, home, cells, id, v, w.
+
+    Cells that together fill a block travel together, so a vector is sent once to a group
+    of cells however many of them it looks into (`cells`).  A group's own vectors are cut
+    into parts of about `block` rows by a hash of the id, and so are those that look into
+    it; a block is a pair of parts.  So a cell of any size is many tasks.
     """
-    looks = placed.select("id", "v", "w", F.posexplode("cells").alias("at", "cell"))
-    counts = looks.groupBy("cell").agg(
-        F.ceil(F.sum((F.col("at") == 0).cast("int")) / block).alias("hs"), F.ceil(F.count("*") / block).alias("ps")
+    group = F.transform("cells", lambda c: F.floor(c / size))
+    looks = placed.select("id", "v", "w", F.col("cells")[0].alias("home"), "cells", F.explode(F.array_distinct(group)).alias("g"))
+    counts = looks.groupBy("g").agg(
+        F.ceil(F.sum((F.floor(F.col("home") / size) == F.col("g")).cast("int")) / block).alias("hs"), F.ceil(F.count("*") / block).alias("ps")
     )
-    dealt = looks.join(F.broadcast(counts), "cell").where("hs > 0")  # sqrt(n) rows
+    dealt = looks.join(F.broadcast(counts), "g").where("hs > 0")  # sqrt(n) rows
     salt = F.xxhash64("id")
     look = dealt.select(
-        "cell",
+        "g",
         F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("h"),
         F.pmod(salt, "ps").alias("p"),
-        F.lit(False).alias("home"),
-        (F.col("at") == 0).alias("own"),
+        F.lit(False).alias("at_home"),
+        "home",
+        F.filter("cells", lambda c: F.floor(c / size) == F.col("g")).alias("cells"),
         "id",
         "v",
         "w",
     )
-    home = dealt.where("at = 0").select(
-        "cell",
+    home = dealt.where(F.floor(F.col("home") / size) == F.col("g")).select(
+        "g",
         F.pmod(salt, "hs").alias("h"),
         F.explode(F.sequence(F.lit(0), F.col("ps") - 1)).alias("p"),
-        F.lit(True).alias("home"),
-        F.lit(True).alias("own"),
+        F.lit(True).alias("at_home"),
+        "home",
+        F.array().cast("array<long>").alias("cells"),
         "id",
         "v",
         "w",
@@ -136,24 +151,29 @@ def _compare(blocks: DataFrame, dim: int, cosine: float) -> DataFrame:
 
     def run(key, table):
         table = table.combine_chunks()
-        home = table.column("home").to_numpy(zero_copy_only=False).astype(bool)
-        ids, weight = table.column("id").to_numpy(), table.column("w").to_numpy()
+        at_home = table.column("at_home").to_numpy(zero_copy_only=False).astype(bool)
+        ids, weight, home = (table.column(c).to_numpy() for c in ("id", "w", "home"))
         x = _rows(table.column("v").combine_chunks(), dim)
-        own = table.column("own").to_numpy(zero_copy_only=False).astype(bool)
-        hi, pi = np.flatnonzero(home), np.flatnonzero(~home)
+        cells = table.column("cells").combine_chunks()
+        looker, cell = pc.list_parent_indices(cells).to_numpy(), cells.flatten().to_numpy()
+        by_cell = np.argsort(cell, kind="stable")
+        looker, cell = looker[by_cell], cell[by_cell]
         count, left, right = np.zeros(len(ids), np.int64), [], []
-        for at in range(0, len(pi), 512):
-            rows = pi[at : at + 512]
-            i, j = np.nonzero(x[rows] @ x[hi].T >= cosine)
-            i, j = rows[i], hi[j]
-            other = ids[i] != ids[j]
-            i, j = i[other], j[other]
-            # a pair of one cell is seen from both sides and counts once for each; one of two cells counts here for both
-            back = own[i]
-            np.add.at(count, i, weight[j])
-            np.add.at(count, j[~back], weight[i[~back]])
-            left.append(i)
-            right.append(j)
+        for c in np.unique(home[at_home]):
+            hi = np.flatnonzero(at_home & (home == c))
+            pi = looker[np.searchsorted(cell, c) : np.searchsorted(cell, c, "right")]
+            for at in range(0, len(pi), 512):
+                rows = pi[at : at + 512]
+                i, j = np.nonzero(x[rows] @ x[hi].T >= cosine)
+                i, j = rows[i], hi[j]
+                other = ids[i] != ids[j]
+                i, j = i[other], j[other]
+                # a pair of one cell is seen from both sides and counts once for each; one of two cells counts here for both
+                back = home[i] == c
+                np.add.at(count, i, weight[j])
+                np.add.at(count, j[~back], weight[i[~back]])
+                left.append(i)
+                right.append(j)
         i, j = (np.concatenate(x) if x else np.zeros(0, int) for x in (left, right))
         least = ids.copy()
         while len(i):
@@ -167,13 +187,13 @@ def _compare(blocks: DataFrame, dim: int, cosine: float) -> DataFrame:
         found = (count > 0) | (least != ids)
         return pa.table({"id": ids[found], "n": count[found], "least": least[found]})
 
-    return blocks.groupBy("cell", "h", "p").applyInArrow(run, "id long, n long, least long")
+    return blocks.groupBy("g", "h", "p").applyInArrow(run, "id long, n long, least long")
 
 
 def embedding_duplicates(
     vectors: DataFrame,
     cosine: float = 0.95,
-    block: int = 2048,
+    block: int = 8192,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     every_length: bool = True,
@@ -210,8 +230,11 @@ def embedding_duplicates(
         if found is not None and sizes[dim] < 2:
             continue  # one class has no other to be compared with
         own = classes.where(F.size("v") == dim)
-        placed = written(_placed(own, fit_cells(own, dim, sizes[dim]), cosine), "cells")
-        part = written(_compare(_blocks(placed, block), dim, cosine), "found")
+        rows_a_block = min(block, max(256, (1 << 22) // dim))  # 32 MB of doubles at most, or 256 rows
+        centres = fit_cells(own, dim, sizes[dim])
+        together = max(1, rows_a_block * len(centres) // sizes[dim])
+        placed = written(_placed(own, centres[_near_first(centres, together)], cosine), "cells")
+        part = written(_compare(_blocks(placed, rows_a_block, together), dim, cosine), "found")
         found = part if found is None else found.unionByName(part)
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     labels = components(found.where("least <> id").select(F.col("id").alias("a"), F.col("least").alias("b")))

@@ -540,7 +540,8 @@ def test_embeddings_equal_brute_force(spark):
     assert len(out) == frame.count() and embed_dedup.embedding_duplicates(frame.limit(0)).count() == 0
 
 
-def test_all_links_of_unclustered_vectors_are_found(spark):
+@pytest.mark.parametrize("block", [8192, 500])
+def test_all_links_of_unclustered_vectors_are_found(spark, block):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(3000, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -551,7 +552,7 @@ def test_all_links_of_unclustered_vectors_are_found(spark):
     near = x @ x.T >= 0.95
     np.fill_diagonal(near, False)
     frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    out = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.embedding_duplicates(frame).collect()}
+    out = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.embedding_duplicates(frame, block=block).collect()}
     expected = components(range(len(x)), zip(*map(list, np.nonzero(near))))
     assert out == {i: (near[i].sum(), expected[i]) for i in range(len(x))}
 
@@ -563,6 +564,16 @@ def test_each_length_is_compared_within_itself(spark, tmp_path):
     assert out == {i: (3, 0) for i in range(4)} | {i: (2, 10) for i in (10, 11, 12)} | {20: (1, 20), 21: (1, 20)}
 
 
+def test_centres_of_a_group_lie_together():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([c + rng.normal(scale=0.01, size=(6, 8)) for c in rng.normal(size=(5, 8))])[rng.permutation(30)]
+    for size in (1, 4, 6, 30, 100):
+        order = embed_dedup._near_first(x, size)
+        assert sorted(order.tolist()) == list(range(30))
+    groups = x[embed_dedup._near_first(x, 6)].reshape(5, 6, 8)
+    assert groups.std(axis=1).max() < 0.1 < groups.mean(axis=1).std(axis=0).max()
+
+
 def test_products_with_many_centres_are_cut_into_small_slices():
     batch = pa.RecordBatch.from_arrays([pa.array(range(5000))], ["id"])
     for cells in (1, 2048, 1 << 15, 1 << 23):
