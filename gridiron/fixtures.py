@@ -123,6 +123,30 @@ ROSTER_COLUMNS: dict[str, str] = {
     "when (week + i) % 11 = 0 then 'RES' else 'ACT' end",
 }
 
+#: Ids of prospects, players on a team's roster who have no plays; there are as many as parts.
+FIRST_PROSPECT = 100000
+
+#: Columns of a prospect's roster row over (season, week, t, team, part).
+PROSPECT_COLUMNS: dict[str, str] = {
+    "season": "season",
+    "week": "week",
+    "team": "team",
+    "player_id": "'FA-' || cast(part as string)",
+    "sleeper_id": f"cast({FIRST_PROSPECT} + part as string)",
+    "player_name": "'Prospect ' || cast(part as string)",
+    "position": "case part % 5 when 0 then 'QB' when 1 then 'RB' when 2 then 'WR' when 3 then 'TE' end",
+    "years_exp": "cast(part % 3 as double)",
+    "draft_number": "case when part % 2 = 0 then cast(part % 256 + 1 as double) end",
+    "age": "cast(21 + part % 4 as double)",
+    "status": "'DEV'",
+}
+
+#: The customer that holds a player of the league: a prospect goes to the customer of its number, if there is one.
+HOLDER = (
+    f"case when cast(sleeper_id as bigint) >= {FIRST_PROSPECT} then cast(sleeper_id as bigint) - {FIRST_PROSPECT} "
+    "else cast(sleeper_id as bigint) % 16 end"
+)
+
 TEAM_WEEK_COLUMNS: dict[str, str] = {
     "season": "cast(year(l_shipdate) as int)",
     "week": "cast(l_orderkey % 18 + 1 as int)",
@@ -144,26 +168,25 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eleven roster slots for every team-week that has a line item."""
+    """Eleven roster slots for every team-week that has a line item, and a prospect for each of its parts."""
     slots = ", ".join(
         f"struct({i} AS i, '{s}' AS slot, {f"'{p}'" if p else 'CAST(NULL AS STRING)'} AS pos)" for i, s, p in SLOTS
     )
-    team_weeks = (
-        spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(*select_list(TEAM_WEEK_COLUMNS)).distinct()
-    )
-    return team_weeks.selectExpr("*", f"inline(array({slots}))").selectExpr(*select_list(ROSTER_COLUMNS))
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    team_weeks = lines.selectExpr(*select_list(TEAM_WEEK_COLUMNS)).distinct()
+    prospects = lines.selectExpr(*select_list(TEAM_WEEK_COLUMNS), "l_partkey AS part").distinct()
+    players = team_weeks.selectExpr("*", f"inline(array({slots}))").selectExpr(*select_list(ROSTER_COLUMNS))
+    return players.unionByName(prospects.selectExpr(*select_list(PROSPECT_COLUMNS)))
 
 
 def league_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Nested roster documents and users, as a league service would deliver them: every customer has a roster.
 
-    The player ids per roster come from the 32 x 11 ids of the slots, so the
-    collected arrays have a fixed bound.
+    The players of a roster are a sixteenth of the 32 x 11 ids of the slots at most and a
+    prospect, so the collected arrays have a fixed bound.
     """
     ids = rosters(spark, sf_dir).select("sleeper_id").where("sleeper_id is not null").distinct()
-    held = ids.groupBy((F.col("sleeper_id").cast("int") % 16).alias("owner")).agg(
-        F.collect_list("sleeper_id").alias("players")
-    )
+    held = ids.groupBy(F.expr(HOLDER).alias("owner")).agg(F.collect_list("sleeper_id").alias("players"))
     owners = spark.read.parquet(f"{sf_dir}/customer.parquet")
     documents = owners.join(held, owners.c_custkey == held.owner, "left").selectExpr(
         "cast(c_custkey + 1 as int) as roster_id",
@@ -258,7 +281,9 @@ def sql_tables() -> dict[str, str]:
         "rosters": _sql_types(
             f"SELECT {', '.join(select_list(ROSTER_COLUMNS))} "
             f"FROM (SELECT DISTINCT {', '.join(select_list(TEAM_WEEK_COLUMNS))} FROM lineitem) AS tw, "
-            f"(VALUES {slots}) AS sl(i, slot, pos)"
+            f"(VALUES {slots}) AS sl(i, slot, pos) "
+            f"UNION ALL SELECT {', '.join(select_list(PROSPECT_COLUMNS))} "
+            f"FROM (SELECT DISTINCT {', '.join(select_list(TEAM_WEEK_COLUMNS))}, l_partkey AS part FROM lineitem) AS tw"
         ),
         "league": f"""
             SELECT CAST(c_custkey + 1 AS INTEGER) AS roster_id,
@@ -270,7 +295,7 @@ def sql_tables() -> dict[str, str]:
                    CAST(13 - c_custkey % 7 AS INTEGER) AS losses
             FROM customer
             JOIN (SELECT DISTINCT sleeper_id FROM rosters WHERE sleeper_id IS NOT NULL) AS ids
-              ON CAST(ids.sleeper_id AS BIGINT) % 16 = c_custkey
+              ON {HOLDER} = c_custkey
             WHERE c_custkey <> 11""",
         "league_landed": f"""
             SELECT * REPLACE (CASE WHEN (roster_id - 1) % 13 = 5 THEN '{UNKNOWN_OWNER}' ELSE owner_name END AS owner_name)

@@ -208,6 +208,16 @@ def test_single_pass_equals_the_joins(spark, hot_share):
     assert same_rows(boxscore.player_game_stats(df), boxscore.player_game_stats_by_joins(df))
 
 
+def test_a_player_week_of_300_names(spark):
+    rows = [{"passer_player_id": "x", "passer_player_name": f"X{i}", "passing_yards": float(i)} for i in range(300)]
+    rows += [{"rusher_player_id": "x", "rusher_player_name": f"X{i}", "rushing_yards": 1.0} for i in range(2)]
+    rows += [{"passer_player_id": "y", "passer_player_name": "Y", "passing_yards": 5.0}]
+    df = staged(spark, *rows).cache()
+    stats = boxscore.player_game_stats(df)
+    assert stats.count() == 300 * 300 * 2 + 1
+    assert same_rows(stats, boxscore.player_game_stats_by_joins(df))
+
+
 def test_single_pass_equals_the_joins_on_the_fixture(spark, sf_dir):
     df = staging.stg_pbp_player_stats(fixtures.plays(spark, sf_dir))
     assert same_rows(boxscore.player_game_stats(df), boxscore.player_game_stats_by_joins(df))
