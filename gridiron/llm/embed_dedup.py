@@ -193,7 +193,7 @@ def _compare(blocks: DataFrame, dim: int, cosine: float) -> DataFrame:
 def embedding_duplicates(
     vectors: DataFrame,
     cosine: float = 0.95,
-    block: int = 8192,
+    block: int = 4096,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     every_length: bool = True,

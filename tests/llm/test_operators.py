@@ -540,7 +540,7 @@ def test_embeddings_equal_brute_force(spark):
     assert len(out) == frame.count() and embed_dedup.embedding_duplicates(frame.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("block", [8192, 500])
+@pytest.mark.parametrize("block", [4096, 500])
 def test_all_links_of_unclustered_vectors_are_found(spark, block):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(3000, 64))
