@@ -153,6 +153,8 @@ TEAM_WEEK_COLUMNS: dict[str, str] = {
     "t": "l_suppkey % 32",
     "team": "'T' || lpad(cast(l_suppkey % 32 as string), 2, '0')",
 }
+#: A team's name from its number ``t``.
+TEAM_OF_T = "'T' || lpad(cast(t as string), 2, '0')"
 
 
 def select_list(columns: dict[str, str]) -> list[str]:
@@ -167,16 +169,34 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.selectExpr(*select_list(PLAY_COLUMNS))
 
 
-def rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eleven roster slots for every team-week that has a line item, and a prospect for each of its parts."""
+def _slots(teams: DataFrame) -> DataFrame:
+    """A row for every roster slot of a row's team."""
     slots = ", ".join(
         f"struct({i} AS i, '{s}' AS slot, {f"'{p}'" if p else 'CAST(NULL AS STRING)'} AS pos)" for i, s, p in SLOTS
     )
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return teams.selectExpr("*", f"inline(array({slots}))")
+
+
+def _slot_rosters(lines: DataFrame) -> DataFrame:
+    """Eleven roster slots for every team-week that has a line item."""
     team_weeks = lines.selectExpr(*select_list(TEAM_WEEK_COLUMNS)).distinct()
-    prospects = lines.selectExpr(*select_list(TEAM_WEEK_COLUMNS), "l_partkey AS part").distinct()
-    players = team_weeks.selectExpr("*", f"inline(array({slots}))").selectExpr(*select_list(ROSTER_COLUMNS))
-    return players.unionByName(prospects.selectExpr(*select_list(PROSPECT_COLUMNS)))
+    return _slots(team_weeks).selectExpr(*select_list(ROSTER_COLUMNS))
+
+
+def _prospects(parts: DataFrame) -> DataFrame:
+    """Roster rows of prospects from (season, week, t, part)."""
+    return parts.selectExpr("*", f"{TEAM_OF_T} AS team").selectExpr(*select_list(PROSPECT_COLUMNS))
+
+
+def _team_parts(lines: DataFrame) -> DataFrame:
+    """The prospect of every line item as numbers, which are narrow while copies are dropped."""
+    return lines.selectExpr(*(f"{TEAM_WEEK_COLUMNS[name]} AS {name}" for name in ("season", "week", "t")), "l_partkey AS part")
+
+
+def rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eleven roster slots for every team-week that has a line item, and a prospect for each of its parts."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return _slot_rosters(lines).unionByName(_prospects(_team_parts(lines).distinct()))
 
 
 def league_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -224,9 +244,21 @@ def land_plays(spark: SparkSession, sf_dir: str, root: str, whole: bool = True)
     _damage(spark, f"{root}/season={DAMAGED_SEASON}")
 
 
+#: Line items whose prospects one task makes.
+LINES_PER_TASK = 500_000
+
+
 def land_rosters(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Season files of the rosters, damaged like those of the plays."""
-    rosters(spark, sf_dir).write.partitionBy("season").parquet(root)
+    """Season files of the rosters, damaged like those of the plays.
+
+    The number of tasks follows that of the line items, and they sort numbers rather
+    than roster rows, so a task's memory does not grow with the input.
+    """
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    _slot_rosters(lines).write.partitionBy("season").parquet(root)
+    tasks = lines.count() // LINES_PER_TASK + 1
+    parts = _team_parts(lines).repartition(tasks, "season", "week", "t", "part").distinct().sortWithinPartitions("season")
+    _prospects(parts).write.mode("append").partitionBy("season").parquet(root)
     _damage(spark, f"{root}/season={DAMAGED_SEASON}")
 
 
