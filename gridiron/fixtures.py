@@ -161,11 +161,13 @@ def select_list(columns: dict[str, str]) -> list[str]:
     return [f"{expression} AS {name}" for name, expression in columns.items()]
 
 
-def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One play per line item."""
+def plays(spark: SparkSession, sf_dir: str, by_season: bool = False) -> DataFrame:
+    """One play per line item; ``by_season`` sorts each task's, while they are narrow, for a write by season."""
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     for step in PLAY_STEPS:
         df = df.selectExpr(*([] if step is PLAY_STEPS[0] else ["*"]), *select_list(step))
+        if by_season and step is PLAY_STEPS[0]:
+            df = df.sortWithinPartitions("season")
     return df.selectExpr(*select_list(PLAY_COLUMNS))
 
 
@@ -199,13 +201,22 @@ def rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _slot_rosters(lines).unionByName(_prospects(_team_parts(lines).distinct()))
 
 
+def _league_ids(lines: DataFrame) -> DataFrame:
+    """The distinct league ids of all rosters; an id depends on team and slot or on the part, not on season and week."""
+    teams = lines.selectExpr(f"{TEAM_WEEK_COLUMNS['t']} AS t").distinct()
+    parts = lines.selectExpr("l_partkey AS part").distinct()
+    slots = _slots(teams).selectExpr(f"{ROSTER_COLUMNS['sleeper_id']} AS sleeper_id")
+    ids = slots.unionByName(parts.selectExpr(f"{PROSPECT_COLUMNS['sleeper_id']} AS sleeper_id"))
+    return ids.where("sleeper_id is not null").distinct()
+
+
 def league_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Nested roster documents and users, as a league service would deliver them: every customer has a roster.
 
     The players of a roster are a sixteenth of the 32 x 11 ids of the slots at most and a
     prospect, so the collected arrays have a fixed bound.
     """
-    ids = rosters(spark, sf_dir).select("sleeper_id").where("sleeper_id is not null").distinct()
+    ids = _league_ids(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     held = ids.groupBy(F.expr(HOLDER).alias("owner")).agg(F.collect_list("sleeper_id").alias("players"))
     owners = spark.read.parquet(f"{sf_dir}/customer.parquet")
     documents = owners.join(held, owners.c_custkey == held.owner, "left").selectExpr(
@@ -233,7 +244,7 @@ def land_plays(spark: SparkSession, sf_dir: str, root: str, whole: bool = True)
     Unless ``whole``, odd seasons lack ``air_yards`` and the files of even ones differ: those of
     odd weeks lack ``epa``.
     """
-    df = plays(spark, sf_dir)
+    df = plays(spark, sf_dir, by_season=True)
     if whole:
         df.write.partitionBy("season").parquet(root)
     else:
@@ -287,10 +298,21 @@ def land_league(spark: SparkSession, sf_dir: str, rosters_root: str, users_root:
     _documents(named.unionByName(former).selectExpr("league", "'{\"user_id\": \"' || user_id || '\"' || name || '}' AS element"), users_root)
 
 
+#: Documents that lie in one folder and are written by one task.
+LEAGUES_PER_FOLDER = 50
+
+
 def _documents(elements: DataFrame, root: str) -> None:
-    """One array a league; later leagues' files sort after earlier ones'."""
+    """One array a league, a file each; later leagues' files sort after earlier ones'.
+
+    Folders are numbered in as many digits, and within one a single task names its files in order.
+    The number of tasks is given, since the documents are few bytes but many files.
+    """
     arrays = elements.groupBy("league").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("element")), F.lit("]")).alias("value"))
-    arrays.withColumn("league", F.lpad(F.col("league").cast("string"), 12, "0")).write.partitionBy("league").text(root)
+    foldered = arrays.withColumn("folder", F.expr(f"{10**12} + league div {LEAGUES_PER_FOLDER}"))
+    tasks = int(elements.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = foldered.repartition(tasks, "folder").sortWithinPartitions("folder", "league")
+    dealt.drop("league").write.option("maxRecordsPerFile", 1).partitionBy("folder").text(root)
 
 
 # ----------------------------------------------------- the same, as SQL text
