@@ -41,7 +41,7 @@ class PipelineConfig:
     exclude_no_play: bool = False
 
 
-def _together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
+def together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
     """Run independent jobs side by side, so that small ones fill gaps of large ones."""
     run = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=max(1, min(len(jobs), 8))) as pool:
@@ -68,7 +68,7 @@ def _land_seasons(release: tables.Release, config: PipelineConfig, root: str, sc
         except seasons.UNREADABLE as error:
             seasons.skip(season, root, error, skipped)
 
-    _together(release.spark, [lambda s=s, f=f: land_season(s, f) for s, f in frames.items()])
+    together(release.spark, [lambda s=s, f=f: land_season(s, f) for s, f in frames.items()])
     if set(frames) <= set(skipped):
         raise seasons.NoSeasonError(f"no season of {root} could be read")
 
@@ -89,7 +89,7 @@ def land(config: PipelineConfig, release: tables.Release) -> dict[str, list[int]
         )
         release.write(flat, f"{tables.RAW}.sleeper_rosters")
 
-    _together(
+    together(
         spark,
         [
             lambda: _land_seasons(release, config, config.plays_root, schemas.PLAYS, f"{tables.RAW}.pbp", skipped["pbp"]),
@@ -125,8 +125,13 @@ def build_marts(config: PipelineConfig, release: tables.Release) -> None:
     def write(name: str, df: DataFrame) -> None:
         release.write(tables.by_partition(df, "season"), f"{tables.MARTS}.{name}", "season", requested)
 
-    def write_whole(name: str, df: DataFrame) -> None:
-        release.write(tables.by_partition(df, "season"), f"{tables.MARTS}.{name}", "season")
+    def write_each(name: str, df: DataFrame, source: str, requested: list[int] | None = None) -> None:
+        """A mart whose rows of a season come from those of ``source``: a job a season, which need not deal or sort its rows."""
+        mart = f"{tables.MARTS}.{name}"
+        found = [s for s in release.seasons(source) if requested is None or s in requested]
+        release.begin_seasons(mart, df.schema, requested)
+        together(release.spark, [lambda s=s: release.write_season(df.where(F.col("season") == s), mart, s) for s in found])
+        release.end_seasons(mart, found, requested)
 
     def mart(name: str) -> DataFrame:
         return release.table(f"{tables.MARTS}.{name}")
@@ -140,11 +145,12 @@ def build_marts(config: PipelineConfig, release: tables.Release) -> None:
         write("fct_team_week_epa", teams.team_week_epa(staged("stg_pbp")))
 
     def build_player_week() -> None:
-        write("fct_player_week", players.player_week(staged("stg_rosters")))
+        write_each("fct_player_week", players.player_week(staged("stg_rosters")), models["stg_rosters"].source, requested)
 
     def build_roster_status() -> None:
         # Ownership is a snapshot: a new one applies to all weeks, so this mart is always built in full.
-        write_whole("fct_player_roster_status", players.player_roster_status(mart("fct_player_week"), staged("stg_sleeper_rosters")))
+        status = players.player_roster_status(mart("fct_player_week"), staged("stg_sleeper_rosters"))
+        write_each("fct_player_roster_status", status, f"{tables.MARTS}.fct_player_week")
 
     def build_base() -> None:
         # Owner and position are a player's, not a week's, so the base too is always built in full.
@@ -153,7 +159,7 @@ def build_marts(config: PipelineConfig, release: tables.Release) -> None:
         # what boards and tiles filter by
         release.write(tables.clustered(base, "season", "position", "player_name"), f"{tables.MARTS}.player_week_base", "season")
 
-    _together(release.spark, [build_game_stats, build_team_week, build_player_week])
+    together(release.spark, [build_game_stats, build_team_week, build_player_week])
     build_roster_status()
     build_base()
 

@@ -130,6 +130,16 @@ class Release:
         self.spark.sql(f"ALTER TABLE {stored(name)} ADD IF NOT EXISTS PARTITION ({place}) LOCATION '{path}'")
         self.runs.setdefault(name, {})[season] = self.run
 
+    def seasons(self, name: str) -> list[int]:
+        """The seasons of which a model has rows, as they will be when this run is published."""
+        return sorted(self.runs.get(name, {}))
+
+    def end_seasons(self, name: str, seasons: Iterable[int], requested: Iterable[int] | None = None) -> None:
+        """After :meth:`write_season` of all ``seasons``: of the requested ones, or of all, no others stay."""
+        asked = set(requested) if requested is not None else None
+        kept = set(seasons)
+        self.runs[name] = {s: r for s, r in self.runs.get(name, {}).items() if s in kept or (asked is not None and s not in asked)}
+
     def _partitions(self, name: str) -> list[tuple[str, int]]:
         found = []
         for row in self.spark.sql(f"SHOW PARTITIONS {stored(name)}").collect():  # a row per run and season

@@ -7,6 +7,7 @@ import pytest
 
 from gridiron import fixtures
 from gridiron.sources import league
+from gridiron.sources import tables as tables_by_release
 
 
 @pytest.fixture
@@ -64,3 +65,20 @@ def test_league_ids_are_those_of_the_rosters(spark, tables):
     assert sorted(held) == sorted(wanted)
     # one row per id: the work of line items is a distinct of parts and one of teams, not of team-weeks
     assert "l_shipdate" not in rosters._sc._jvm.PythonSQLUtils.explainString(rosters._jdf.queryExecution(), "simple")
+
+
+def test_a_release_holds_only_the_seasons_written_last(spark, tmp_path):
+    name = f"{tables_by_release.MARTS}.seasons_written"
+    release = tables_by_release.Release(spark)
+    rows = spark.createDataFrame([(1, 1999), (2, 2000), (3, 2001)], "a int, season int")
+    release.begin_seasons(name, rows.schema)
+    for season in (1999, 2000, 2001):
+        release.write_season(rows.where(f"season = {season}"), name, season)
+    release.end_seasons(name, [1999, 2000, 2001])
+    assert release.seasons(name) == [1999, 2000, 2001] and release.table(name).count() == 3
+    release.end_seasons(name, [2001], requested=[2000, 2001])  # 2000 is asked for and has no rows
+    assert release.seasons(name) == [1999, 2001]
+    assert sorted(r.a for r in release.table(name).collect()) == [1, 3]
+    release.end_seasons(name, [2001])
+    assert [r.a for r in release.table(name).collect()] == [3]
+    spark.sql(f"DROP TABLE {tables_by_release.stored(name)}")
